@@ -42,6 +42,10 @@ class Measure:
     ``similarity`` reads, ``bound_stats`` those ``upper_bound`` reads. ``upper_bound``,
     if given, is never below the similarity of a pair and lets pairs that cannot reach
     a threshold be skipped before they are aggregated.
+
+    Similarities are rounded half-up to ``digits`` before they are compared: sums of
+    doubles depend on the order of their terms, so unrounded values could order near-ties
+    differently from run to run. None is for measures that are exact by themselves.
     """
 
     name: str
@@ -53,6 +57,16 @@ class Measure:
     uses_users: bool = False
     upper_bound: Callable[[Stats, Stats], Column] | None = None
     bound_stats: tuple[str, ...] = ()
+    digits: int | None = 9
+
+    def rounded(self, pair: Pair) -> Column:
+        """The similarity at ``digits`` decimals. Written as a floor, which unlike ``round``
+        on doubles does not go through decimal text for every pair."""
+        value = self.similarity(pair)
+        if self.digits is None:
+            return value
+        scale = 10.0**self.digits
+        return F.floor(value * scale + 0.5) / scale
 
     def __post_init__(self) -> None:
         unknown = set(self.row_stats + self.pair_stats + self.bound_stats) - set(ITEM_STATS)
@@ -60,26 +74,23 @@ class Measure:
             raise ValueError(f"unknown item statistics: {sorted(unknown)}")
 
 
-def _entropy(*counts: Column) -> Column:
-    """Unnormalised entropy of counts: T ln T - sum(k ln k), with 0 ln 0 = 0."""
-    total = sum(counts[1:], counts[0])
-    return _xlogx(total) - sum((_xlogx(k) for k in counts[1:]), _xlogx(counts[0]))
-
-
-def _xlogx(x: Column) -> Column:
-    return F.when(x > 0, x * F.ln(x)).otherwise(F.lit(0.0))
+def _xlogx(count: Column) -> Column:
+    """x ln x of a whole count, with 0 ln 0 = 0 and no branch."""
+    return count * F.ln(F.greatest(count, F.lit(1)).cast("double"))
 
 
 def _log_likelihood(p: Pair) -> Column:
-    """Dunning's log-likelihood ratio of the 2x2 table of users, mapped into [0, 1)."""
-    both = p.co.cast("double")
-    only_a = p.a["n"] - p.co
-    only_b = p.b["n"] - p.co
-    neither = p.users - p.a["n"] - p.b["n"] + p.co
-    rows = _entropy(both + only_a, only_b + neither)
-    columns = _entropy(both + only_b, only_a + neither)
-    cells = _entropy(both, only_a, only_b, neither)
-    ratio = F.greatest(F.lit(0.0), 2.0 * (rows + columns - cells))
+    """Dunning's log-likelihood ratio of the 2x2 table of users, mapped into [0, 1).
+
+    The table counts users of both items, of one only, and of neither; the ratio is
+    2 (cells + all - row totals - column totals), each as a sum of x ln x.
+    """
+    with_a, with_b = p.a["n"], p.b["n"]
+    cells = (
+        _xlogx(p.co) + _xlogx(with_a - p.co) + _xlogx(with_b - p.co) + _xlogx(p.users - with_a - with_b + p.co)
+    )
+    margins = _xlogx(with_a) + _xlogx(p.users - with_a) + _xlogx(with_b) + _xlogx(p.users - with_b)
+    ratio = F.greatest(F.lit(0.0), 2.0 * (cells + _xlogx(p.users) - margins))
     return 1.0 - 1.0 / (1.0 + ratio)
 
 
@@ -87,6 +98,7 @@ COOCCURRENCE = Measure(
     "cooccurrence",
     lambda p: p.co.cast("double"),
     uses_dot=False,
+    digits=None,
     upper_bound=lambda a, b: F.least(a["n"], b["n"]),
     bound_stats=("n",),
 )

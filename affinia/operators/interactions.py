@@ -31,6 +31,16 @@ def as_boolean(ui: DataFrame) -> DataFrame:
     return ui.withColumn("pref", F.lit(1.0))
 
 
+def complete(prefs: DataFrame) -> DataFrame:
+    """Rows with a user, an item and a preference.
+
+    Joins on these columns would drop incomplete rows anyway, but each at its own place.
+    Dropped here, every branch of a plan starts from the same rows and columns, and Spark
+    scans and shuffles the input once for all of them.
+    """
+    return prefs.where(F.col("user").isNotNull() & F.col("item").isNotNull() & F.col("pref").isNotNull())
+
+
 def min_prefs(ui: DataFrame, n: int) -> DataFrame:
     """Users with at least ``n`` rows. Counted apart from the rows, so a hot user is
     pre-aggregated and its rows are never gathered in one task."""
@@ -76,7 +86,7 @@ def rating_matrix(
     """
     source = as_boolean(ui) if boolean else ui
     unique = source if on_duplicate is None else one_pref_per_item(source, on_duplicate)
-    return min_prefs(unique.select("user", "item", "pref").where(F.col("pref") != 0), min_prefs_per_user)
+    return min_prefs(complete(unique.select("user", "item", "pref")).where(F.col("pref") != 0), min_prefs_per_user)
 
 
 def item_lists(
@@ -96,7 +106,7 @@ def item_lists(
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
     value = F.col(entry) if isinstance(entry, str) else entry
     rows = df.select(user, F.struct(*[k.alias(f"_{i}") for i, k in enumerate(keys)], value.alias("_entry")).alias("_row"))
-    split = with_blocks(rows, user, "_row", max_list).withColumn("part", block_of("_row")).drop(BLOCKS)
+    split = with_blocks(rows, user, rows, "_row", max_list).withColumn("part", block_of("_row")).drop(BLOCKS)
     return (
         split.groupBy(user, "part")
         .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))

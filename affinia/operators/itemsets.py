@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.operators.skew import pairs_within, top_per_group
+from affinia.session import cut_lineage
 
 ROWS_PER_BLOCK = 2_000
 
@@ -47,7 +48,7 @@ def frequent_pairs(rows: DataFrame, min_support: int, rows_per_block: int = ROWS
     nothing afterwards.
     """
     kept = rows.join(frequent_items(rows, min_support), "item")
-    pairs = pairs_within(kept, "basket", "item", ["freq"], "item", rows_per_block)
+    pairs = pairs_within(kept, "basket", "item", ["freq"], kept, "item", rows_per_block)
     return (
         pairs.groupBy("item_a", "item_b", "freq_a", "freq_b")
         .agg(F.count(F.lit(1)).alias("freq"))
@@ -62,8 +63,8 @@ def frequent_itemsets(
     """Itemsets in at least ``min_support`` baskets: ``items`` (sorted array), ``freq``.
 
     ``rows`` comes from ``basket_rows``. Sizes up to 2 are counted by joins; larger or
-    unbounded sizes use FP-growth on the frequent items of each basket, which runs a
-    job when called.
+    unbounded sizes use FP-growth on the frequent items of each basket. That runs jobs
+    when called and writes the itemsets out, as FP-growth would start over on every read.
     """
     if max_len is not None and max_len <= 2:
         single = frequent_items(rows, min_support).select(F.array("item").alias("items"), "freq")
@@ -72,20 +73,17 @@ def frequent_itemsets(
         pairs = frequent_pairs(rows, min_support, rows_per_block)
         return single.unionByName(pairs.select(F.array("item_a", "item_b").alias("items"), "freq"))
     kept = rows.join(frequent_items(rows, min_support), "item", "left_semi")
-    lists = kept.groupBy("basket").agg(F.collect_set("item").alias("items")).select("items").persist()
-    try:
-        count = lists.count()
-        if count == 0:
-            return lists.select("items", F.lit(0).cast("bigint").alias("freq")).where(F.lit(False))
-        # FP-growth takes a fraction and rounds the count up; half a basket less is exact.
-        model = FPGrowth(
-            itemsCol="items",
-            minSupport=max(0.0, (min_support - 0.5) / count),
-            numPartitions=int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        ).fit(lists)
-    finally:
-        lists.unpersist()
-    sets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
+    lists = cut_lineage(kept.groupBy("basket").agg(F.collect_set("item").alias("items")).select("items"))
+    count = lists.count()
+    if count == 0:
+        return lists.select("items", F.lit(0).cast("bigint").alias("freq"))
+    # FP-growth takes a fraction and rounds the count up; half a basket less is exact.
+    model = FPGrowth(
+        itemsCol="items",
+        minSupport=max(0.0, (min_support - 0.5) / count),
+        numPartitions=int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    ).fit(lists)
+    sets = cut_lineage(model.freqItemsets.select(F.sort_array("items").alias("items"), "freq"))
     return sets if max_len is None else sets.where(F.size("items") <= max_len)
 
 

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.interactions import top_prefs
-from affinia.operators.similarity import DIGITS
-from affinia.operators.skew import top_per_group
+from affinia.operators.interactions import complete, top_prefs
+from affinia.operators.skew import join_hot, top_per_group
+
+
+# A hot item's users meet its similar items in blocks of this many rows.
+ROWS_PER_BLOCK = 100_000
+
+# Digits kept of a score, so that sums taken in another order rank alike.
+DIGITS = 9
 
 
 def recommend(
@@ -20,6 +26,7 @@ def recommend(
     users: DataFrame | None = None,
     items: DataFrame | None = None,
     exclude: DataFrame | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Best ``n`` new items of each user: ``user, item, score, rank``.
 
@@ -33,15 +40,16 @@ def recommend(
     exclusions enter the score aggregate as marked rows instead of an anti-join, which
     would shuffle all candidates a second time.
     """
+    prefs = complete(prefs)
     served = prefs if users is None else prefs.join(users.select("user"), "user", "left_semi")
     offered = similar.select("item", F.col("other").alias("_candidate"), "sim")
     if items is not None:
         wanted = items.select(F.col("item").alias("_candidate"))
         offered = offered.join(wanted, "_candidate", "left_semi")
 
+    considered = top_prefs(served, max_prefs)
     proposals = (
-        top_prefs(served, max_prefs)
-        .join(offered, "item")
+        join_hot(considered, offered, "item", "user", prefs, "pref", rows_per_block)
         .select("user", F.col("_candidate").alias("item"), *_terms(F.col("sim"), F.col("pref")), F.lit(0).alias("_out"))
     )
     nothing = _terms(F.lit(0.0), F.lit(0.0))

@@ -6,16 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.functions.measures import ITEM_STATS, Measure, Pair, measure_named
-from affinia.operators.interactions import sample_prefs
+from affinia.operators.interactions import complete, sample_prefs
 from affinia.operators.skew import pairs_within, top_per_group
 
 # A hot user's items are paired in blocks of this many rows.
 ROWS_PER_BLOCK = 2_000
 
-# Digits kept of a similarity. Sums of doubles depend on the order of their terms, so
-# unrounded values could order near-ties differently from run to run.
-DIGITS = 9
-
 
 def item_stats(prefs: DataFrame) -> DataFrame:
     """Per item: non-zero count, sum, squared norm, largest magnitude, mean, and the sum
@@ -40,7 +36,8 @@ def cooccurrence(prefs: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> Data
 
     ``prefs`` must be unique on (user, item).
     """
-    pairs = pairs_within(prefs, "user", "item", ["pref"], "pref", rows_per_block)
+    prefs = complete(prefs)
+    pairs = pairs_within(prefs, "user", "item", ["pref"], prefs, "pref", rows_per_block)
     return pairs.groupBy("item_a", "item_b").agg(
         F.count(F.lit(1)).alias("co"), F.sum(F.col("pref_a") * F.col("pref_b")).alias("dot")
     )
@@ -61,7 +58,7 @@ def similar_pairs(
     the largest intermediate by far, are shuffled once and joined to nothing.
     """
     m = measure_named(measure)
-    prefs = sample_prefs(prefs, max_prefs, seed)
+    prefs = sample_prefs(complete(prefs), max_prefs, seed)
     bound = m.upper_bound if threshold is not None and threshold > 0 else None
     carried = set(m.pair_stats) | (set(m.bound_stats) if bound else set())
     needed = carried | set(m.row_stats)
@@ -76,9 +73,9 @@ def similar_pairs(
         return {s: F.col(f"{s}{suffix}") for s in ITEM_STATS}
 
     # The bound is compared with a margin, as the similarity is rounded afterwards.
-    keep = bound(of("_a"), of("_b")) >= threshold - 10.0**-DIGITS if bound else None
+    keep = bound(of("_a"), of("_b")) >= threshold - 10.0**-(m.digits or 9) if bound else None
     carry = ["weight", *sorted(carried)] if m.uses_dot else sorted(carried)
-    pairs = pairs_within(rows, "user", "item", carry, "pref", rows_per_block, keep)
+    pairs = pairs_within(rows, "user", "item", carry, prefs, "pref", rows_per_block, keep)
     stats_columns = [f"{s}{x}" for s in sorted(m.pair_stats) for x in ("_a", "_b")]
     sums = [F.count(F.lit(1)).alias("co")]
     if m.uses_dot:
@@ -92,7 +89,7 @@ def similar_pairs(
         b=of("_b"),
         users=user_count(prefs) if m.uses_users else None,
     )
-    sim = totals.select("item_a", "item_b", F.round(m.similarity(pair), DIGITS).alias("sim"))
+    sim = totals.select("item_a", "item_b", m.rounded(pair).alias("sim"))
     kept = sim.where(F.col("sim") > 0)
     return kept.where(F.col("sim") >= threshold) if threshold is not None else kept
 

@@ -17,16 +17,19 @@ BLOCKS = "_blocks"
 PRUNED_LIMIT = 1000
 
 
-def with_blocks(df: DataFrame, key: str, count_column: str, rows_per_block: int) -> DataFrame:
+def with_blocks(
+    df: DataFrame, key: str, counted: DataFrame, count_column: str, rows_per_block: int
+) -> DataFrame:
     """Add ``_blocks``: 1 for ordinary keys, ceil(rows / rows_per_block) for hot ones.
 
-    ``count_column`` must not be null; counting it (rather than ``*``) keeps the
-    input shuffle identical to the one feeding ``df``, so Spark can reuse it. The
+    The rows of each key are counted in ``counted``: ``df`` itself or a plainer table with
+    the same rows per key. ``count_column`` must not be null; counting it (rather than
+    ``*``) keeps it in the shuffle that feeds both tables, so Spark can reuse that. The
     table of hot keys carries no broadcast hint: adaptive execution broadcasts it
     when its measured size allows and splits the hot partition otherwise.
     """
     hot = (
-        df.groupBy(key)
+        counted.groupBy(key)
         .agg(F.count(count_column).alias("_rows"))
         .where(F.col("_rows") > rows_per_block)
         .select(key, F.ceil(F.col("_rows") / rows_per_block).cast("int").alias(BLOCKS))
@@ -39,11 +42,34 @@ def block_of(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.col(BLOCKS)).cast("int")
 
 
+def join_hot(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread: str,
+    counted: DataFrame,
+    count_column: str,
+    rows_per_block: int,
+) -> DataFrame:
+    """Inner join on ``key`` of rows that may be hot with a side of few rows per key.
+
+    Each left row multiplies by the right rows of its key, so a hot key is more than a
+    skewed read. Its left rows are spread over blocks by the hash of ``spread`` and its
+    right rows are repeated for each block; other keys have one block.
+    """
+    rows = with_blocks(left, key, counted, count_column, rows_per_block).withColumn("_block", block_of(spread))
+    repeated = with_blocks(right, key, counted, count_column, rows_per_block).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.col(BLOCKS) - 1))
+    )
+    return rows.drop(BLOCKS).join(repeated.drop(BLOCKS), [key, "_block"]).drop("_block")
+
+
 def pairs_within(
     df: DataFrame,
     key: str,
     item: str,
     carry: list[str],
+    counted: DataFrame,
     count_column: str,
     rows_per_block: int,
     keep: Column | None = None,
@@ -60,7 +86,7 @@ def pairs_within(
     optional filter on the pair columns, applied inside the join.
     """
     cells = (
-        with_blocks(df, key, count_column, rows_per_block)
+        with_blocks(df, key, counted, count_column, rows_per_block)
         .withColumn("_block", block_of(item))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(BLOCKS) - 1)))
         .select(

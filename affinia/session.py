@@ -22,6 +22,8 @@ def build_session(app: str = "affinia", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a skewed join even if the next operator then needs a shuffle of its own.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -56,6 +58,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, for plans that read it several times."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a table written to the shared folder, for plans that read it several times.
+
+    Written once and read by column, it survives lost executors and gives the planner
+    the true size. (``checkpoint()`` would run the last stage twice.) The folder is the
+    caller's to expire.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
