@@ -354,7 +354,11 @@ excluded AS (SELECT DISTINCT "user", item + 1 AS item FROM ui_dup WHERE flag = '
         METRICS, 'SELECT DISTINCT round("precision", 4) AS "precision", round(recall, 4) AS recall FROM metrics'
     ),
     "f1_histogram": _with(METRICS, "SELECT round(f1, 1) AS bucket, count(*) AS n FROM metrics GROUP BY bucket"),
-    "baskets": _with(BRANDS, "SELECT basket, string_agg(item, ',' ORDER BY item) AS items FROM brands GROUP BY basket"),
+    "baskets": _with(
+        BRANDS,
+        "SELECT basket, CAST(0 AS BIGINT) AS part, "
+        "string_agg(item, ',' ORDER BY item) AS items FROM brands GROUP BY basket",
+    ),
     "frequent_itemsets": _with(
         TRIPLES,
         "SELECT item AS items, freq FROM singles UNION ALL SELECT item_a || ',' || item_b, freq FROM pairs "

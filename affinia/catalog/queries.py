@@ -334,7 +334,8 @@ def f1_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return itemsets.baskets(fx.brand_rows(spark, sf_dir)).select("basket", F.array_join("items", ",").alias("items"))
+    lists = itemsets.baskets(fx.brand_rows(spark, sf_dir))
+    return lists.select("basket", whole("part"), F.array_join("items", ",").alias("items"))
 
 
 def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:

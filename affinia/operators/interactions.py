@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.skew import BLOCKS, PRUNED_LIMIT, block_of, rank_by_hash, top_per_group, with_blocks
+from affinia.operators.skew import BLOCKS, block_of, top_per_group, with_blocks
 
 ROWS_PER_BLOCK = 100_000
 
@@ -58,7 +58,7 @@ def top_prefs(ui: DataFrame, m: int | None) -> DataFrame:
     return top_per_group(ui, ["user"], order, m, rank="_rank").drop("_rank")
 
 
-def sample_prefs(ui: DataFrame, m: int | None, seed: int | str = 42, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def sample_prefs(ui: DataFrame, m: int | None, seed: int | str = 42) -> DataFrame:
     """Users with more than ``m`` rows are sampled down to ``m``, in seeded md5 order.
 
     This is the optional bound on heavy users in similarity; the same seed always
@@ -66,11 +66,8 @@ def sample_prefs(ui: DataFrame, m: int | None, seed: int | str = 42, rows_per_bl
     """
     if m is None:
         return ui
-    if m <= PRUNED_LIMIT:
-        order: list[Column] = [F.md5(F.concat_ws("|", F.lit(str(seed)), "user", "item")), F.col("item")]
-        return top_per_group(ui, ["user"], order, m, rank="_rank").drop("_rank")
-    ranked = rank_by_hash(ui, "user", "item", seed, rows_per_block)
-    return ranked.where(F.col("_rank") <= m).drop("_rank", "_size")
+    order = [F.md5(F.concat_ws("|", F.lit(str(seed)), "user", "item")), F.col("item")]
+    return top_per_group(ui, ["user"], order, m, rank="_rank").drop("_rank")
 
 
 def rating_matrix(

@@ -6,10 +6,12 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.operators.interactions import ROWS_PER_BLOCK as MAX_LIST
+from affinia.operators.interactions import item_lists
 from affinia.operators.skew import pairs_within, top_per_group
 from affinia.session import cut_lineage
 
-ROWS_PER_BLOCK = 2_000
+ROWS_PER_BLOCK = 1_000
 
 
 def basket_rows(ui: DataFrame, basket: str = "user", item: str = "item") -> DataFrame:
@@ -18,15 +20,13 @@ def basket_rows(ui: DataFrame, basket: str = "user", item: str = "item") -> Data
     return rows.where(F.col("item") != "").distinct()
 
 
-def baskets(ui: DataFrame, basket: str = "user", item: str = "item") -> DataFrame:
-    """One row per basket with its distinct items, sorted: ``basket, items``.
+def baskets(ui: DataFrame, basket: str = "user", item: str = "item", max_list: int = MAX_LIST) -> DataFrame:
+    """The distinct items of each basket, sorted: ``basket, part, items``.
 
-    Repeats are removed before the lists are built, so a list is no longer than the
-    number of distinct items. The pair operators below work on ``basket_rows`` and
-    build no lists at all.
+    A basket of at most ``max_list`` items is one list, part 0; a larger one comes in
+    several parts. The operators below work on ``basket_rows`` and build no such lists.
     """
-    rows = basket_rows(ui, basket, item)
-    return rows.groupBy("basket").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return item_lists(basket_rows(ui, basket, item), "basket", "item", max_list=max_list)
 
 
 def basket_count(rows: DataFrame) -> DataFrame:
@@ -73,6 +73,7 @@ def frequent_itemsets(
         pairs = frequent_pairs(rows, min_support, rows_per_block)
         return single.unionByName(pairs.select(F.array("item_a", "item_b").alias("items"), "freq"))
     kept = rows.join(frequent_items(rows, min_support), "item", "left_semi")
+    # A list is no longer than the number of frequent items, at most total rows / min_support.
     lists = cut_lineage(kept.groupBy("basket").agg(F.collect_set("item").alias("items")).select("items"))
     count = lists.count()
     if count == 0:

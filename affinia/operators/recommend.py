@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.operators.interactions import complete, top_prefs
-from affinia.operators.skew import join_hot, top_per_group
+from affinia.operators.skew import BLOCKS, join_hot, top_per_group, with_blocks
 
 
 # A hot item's users meet its similar items in blocks of this many rows.
@@ -41,26 +41,42 @@ def recommend(
     would shuffle all candidates a second time.
     """
     prefs = complete(prefs)
+    counted = prefs.select("user", "pref")
+    if exclude is not None:
+        exclude = exclude.select("user", "item").where(F.col("user").isNotNull() & F.col("item").isNotNull())
+        counted = counted.unionByName(exclude.select("user", F.lit(0.0).alias("pref")))
+
+    def slotted(df: DataFrame) -> DataFrame:
+        return with_blocks(df, "user", counted, "pref", rows_per_block).withColumnRenamed(BLOCKS, "_slots")
+
     served = prefs if users is None else prefs.join(users.select("user"), "user", "left_semi")
+    served = slotted(served)
     offered = similar.select("item", F.col("other").alias("_candidate"), "sim")
     if items is not None:
         wanted = items.select(F.col("item").alias("_candidate"))
         offered = offered.join(wanted, "_candidate", "left_semi")
 
     considered = top_prefs(served, max_prefs)
-    proposals = (
-        join_hot(considered, offered, "item", "user", prefs, "pref", rows_per_block)
-        .select("user", F.col("_candidate").alias("item"), *_terms(F.col("sim"), F.col("pref")), F.lit(0).alias("_out"))
+    proposals = join_hot(considered, offered, "item", "user", prefs, "pref", rows_per_block).select(
+        "user",
+        "_slots",
+        F.col("_candidate").alias("item"),
+        *_terms(F.col("sim"), F.col("pref")),
+        F.lit(0).alias("_out"),
     )
-    nothing = _terms(F.lit(0.0), F.lit(0.0))
-    out = served.select("user", "item")
+    out = served.select("user", "_slots", "item")
     if exclude is not None:
-        out = out.unionByName(exclude.select("user", "item"))
-    marked = out.select("user", "item", *nothing, F.lit(1).alias("_out"))
+        out = out.unionByName(slotted(exclude).select("user", "_slots", "item"))
+    marked = out.select("user", "_slots", "item", *_terms(F.lit(0.0), F.lit(0.0)), F.lit(1).alias("_out"))
 
+    # Candidates of one user meet in one partition (a hot user has several, by item), so
+    # scores and the user's best come out of one shuffle; only those best are moved again.
     totals = (
         proposals.unionByName(marked)
-        .groupBy("user", "item")
+        .withColumn("_slot", F.pmod(F.xxhash64("item"), F.col("_slots")))
+        .drop("_slots")
+        .repartition("user", "_slot")
+        .groupBy("user", "_slot", "item")
         .agg(
             F.sum("_weighted").alias("_weighted"),
             F.sum("_similarity").alias("_similarity"),

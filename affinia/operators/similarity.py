@@ -10,7 +10,7 @@ from affinia.operators.interactions import complete, sample_prefs
 from affinia.operators.skew import pairs_within, top_per_group
 
 # A hot user's items are paired in blocks of this many rows.
-ROWS_PER_BLOCK = 2_000
+ROWS_PER_BLOCK = 1_000
 
 
 def item_stats(prefs: DataFrame) -> DataFrame:

@@ -16,6 +16,9 @@ BLOCKS = "_blocks"
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_LIMIT = 1000
 
+# Slices of a group for larger limits.
+SPREAD = 1024
+
 
 def with_blocks(
     df: DataFrame, key: str, counted: DataFrame, count_column: str, rows_per_block: int
@@ -130,9 +133,19 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: i
     """First ``limit`` rows of each group; ``order`` must be a full order.
 
     Up to ``PRUNED_LIMIT`` rows Spark keeps only the best rows of each group in every
-    map task, so a hot group shrinks before it is shuffled.
+    map task, so a hot group shrinks before it is shuffled. Beyond that it does not, so
+    each group is first cut to ``limit`` in ``SPREAD`` slices by row hash.
     """
-    numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    rows = df
+    if limit > PRUNED_LIMIT:
+        slices = Window.partitionBy(*group, "_slice").orderBy(*order)
+        rows = (
+            df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
+            .withColumn(rank, F.row_number().over(slices))
+            .where(F.col(rank) <= limit)
+            .drop("_slice", rank)
+        )
+    numbered = rows.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered.where(F.col(rank) <= limit)
 
 

@@ -16,7 +16,8 @@ from affinia.operators.interactions import (
     sample_prefs,
     top_prefs,
 )
-from affinia.operators.skew import join_hot, rank_by_hash
+from affinia.operators import skew
+from affinia.operators.skew import join_hot, rank_by_hash, top_per_group
 
 
 @pytest.fixture
@@ -71,11 +72,20 @@ def test_top_prefs_by_magnitude_then_item(spark):
 @pytest.mark.parametrize("m", [1, 7, 1500])
 def test_sample_keeps_m_per_user(hot, m):
     counts = Counter(u for u, _, _ in HOT)
-    got = rows(sample_prefs(hot, m, 42, rows_per_block=4), "user", "item", "pref")
+    got = rows(sample_prefs(hot, m, 42), "user", "item", "pref")
     assert Counter(r[0] for r in got) == {u: min(n, m) for u, n in counts.items()}
     assert set(got) <= set(HOT)
 
 
+@pytest.mark.parametrize("limit", [2, 9, 100])
+def test_large_limits_in_slices_are_the_plain_top(hot, monkeypatch, limit):
+    order = [F.desc("pref"), F.col("item")]
+    plain = rows(top_per_group(hot, ["user"], order, limit), "user", "item", "rank")
+    monkeypatch.setattr(skew, "PRUNED_LIMIT", 1)
+    monkeypatch.setattr(skew, "SPREAD", 5)
+    assert rows(top_per_group(hot, ["user"], order, limit), "user", "item", "rank") == plain
+
+
 @pytest.mark.parametrize("rows_per_block", [2, 5, 1000])
 def test_rank_by_hash_is_the_plain_rank(hot, rows_per_block):
     w = Window.partitionBy("user").orderBy(F.md5(F.concat_ws("|", F.lit("7"), "user", "item")), "item")

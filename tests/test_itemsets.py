@@ -35,6 +35,8 @@ def supports(size):
 def test_baskets_are_sets_without_blanks(lines):
     got = {r.basket: "".join(r["items"]) for r in baskets(lines).collect()}
     assert got == BASKETS
+    parts = sorted((r.basket, i) for r in baskets(lines, max_list=1).collect() for i in r["items"])
+    assert parts == sorted((b, i) for b, items in BASKETS.items() for i in items)
     assert basket_count(basket_rows(lines)).first().n == 6
 
 

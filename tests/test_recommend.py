@@ -51,10 +51,31 @@ def test_never_what_the_user_has_and_never_more_than_n(hot):
     assert max(r for _, _, r in got) <= 4
 
 
-def test_blocks_of_a_hot_item_change_nothing(hot):
+@pytest.mark.parametrize("max_prefs", [10, None])
+def test_blocks_of_hot_items_and_users_change_nothing(hot, max_prefs):
     similar = item_similarity(hot, "cosine", k=10)
-    whole = rows(recommend(hot, similar, n=5), "user", "item", "score", "rank")
-    assert rows(recommend(hot, similar, n=5, rows_per_block=3), "user", "item", "score", "rank") == whole
+    columns = ("user", "item", "score", "rank")
+    # User 0 is excluded from far more items than it has.
+    exclude = hot.selectExpr("0 AS user", "item + 30 AS item").union(hot.selectExpr("user", "item + 1"))
+    for out in (None, exclude):
+        whole = recommend(hot, similar, n=5, max_prefs=max_prefs, exclude=out)
+        split = recommend(hot, similar, n=5, max_prefs=max_prefs, exclude=out, rows_per_block=3)
+        assert rows(split, *columns) == rows(whole, *columns)
+
+
+def test_scores_match_brute_force(hot):
+    similar = item_similarity(hot, "cosine", k=10)
+    near = [(r.item, r.other, r.sim) for r in similar.collect()]
+    owned = {(u, i) for u, i, _ in HOT}
+    sums: dict = {}
+    for u, i, p in HOT:
+        for item, other, sim in near:
+            if item == i and (u, other) not in owned:
+                weighted, weight, n = sums.get((u, other), (0.0, 0.0, 0))
+                sums[u, other] = (weighted + sim * p, weight + sim, n + 1)
+    want = {k: w / s for k, (w, s, n) in sums.items() if n >= 2}
+    got = recommend(hot, similar, n=1000, max_prefs=None, rows_per_block=7).collect()
+    assert {(r.user, r.item): r.score for r in got} == pytest.approx(want, abs=1e-8)
 
 
 def test_lists_and_back(hot):
