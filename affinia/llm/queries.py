@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import langid, packing, secrets
+from affinia.llm import langid, lmscore, packing, secrets, substrings
 from affinia.llm.common import fold
 
 
@@ -31,6 +31,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
@@ -39,6 +44,13 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lmscore.score(docs, tokenizer_path("piece_bpe_32k.model"), fold("doc_id", 10) != 0)
+    held_out = F.coalesce(fold("doc_id", 10) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     pieces = packing.pack(docs, tokenizer_path())
@@ -47,7 +59,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op6_substrings": op6_substrings,
     "op7_langid": op7_langid,
+    "op9_lmscore": op9_lmscore,
     "op10_packing": op10_packing,
 }
 
