@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import langid, lmscore, packing, secrets, substrings
+from affinia.llm import langid, lmscore, minhash, packing, secrets, substrings
 from affinia.llm.common import fold
 
 
@@ -44,6 +44,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4)
+
+
 def op9_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = lmscore.score(docs, tokenizer_path("piece_bpe_32k.model"), fold("doc_id", 10) != 0)
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op6_substrings": op6_substrings,
     "op7_langid": op7_langid,
+    "op8_minhash": op8_minhash,
     "op9_lmscore": op9_lmscore,
     "op10_packing": op10_packing,
 }
