@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,14 +64,15 @@ class Model:
         words: dict[str, list] = {}
         pieces: list[dict[str, list]] = [{} for _ in range(LONGEST_GRAM + 1)]
         for lang, word, n in rows:
-            words.setdefault(word, [0] * size)[at[lang]] += n
-        for word, counts in words.items():
-            for k in range(1, LONGEST_GRAM + 1):
+            i = at[lang]
+            words.setdefault(word, [0] * size)[i] += n
+            for k, held in enumerate(pieces[1:], 1):
                 for g in grams(word, k):
-                    if not g.isspace():
-                        held = pieces[k].setdefault(g, [0] * size)
-                        for i, n in enumerate(counts):
-                            held[i] += n
+                    if (counts := held.get(g)) is None:
+                        if g.isspace():
+                            continue
+                        counts = held[g] = [0] * size
+                    counts[i] += n
         all_words = np.array([totals[lang][0] for lang in self.langs], float)
         kinds = np.array([totals[lang][1] for lang in self.langs], float)
         self.words = self._log(words, all_words, kinds)
@@ -93,27 +95,45 @@ class Model:
         for k in range(LONGEST_GRAM, 0, -1):
             index, logs = self.grams[k]
             if known := [index[g] for g in grams(word, k) if g in index]:
-                return logs[known].mean(0)
+                return np.add.reduce(logs[known]) / len(known)
         return np.zeros(len(self.langs))
 
-    def predict(self, text: str | None, memory: dict) -> tuple[str, float]:
-        total, seen = np.zeros(len(self.langs)), False
-        for w, n in Counter((text or "").lower().split()).items():
-            if (score := memory.get(w)) is None:
-                key = bare(w)
-                score = self.word(key) if key else False
-                if len(memory) > FLUSH:
-                    memory.clear()
-                memory[w] = score
-            if score is not False:
-                seen = True
-                total += score if n == 1 else n * score
-        if not seen or not self.langs:
+    def predict(self, text: str | None, memory: Memory) -> tuple[str, float]:
+        counts = Counter((text or "").lower().split())
+        if len(memory) > FLUSH:
+            memory.clear()
+        at = np.fromiter(map(memory.__getitem__, counts), np.int64, len(counts))
+        if not self.langs or not at.any():
             return UNDETERMINED, 0.0
+        total = np.fromiter(counts.values(), float, len(counts)) @ memory.scores[at]
         best = int(total.argmax())
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
+class Memory(dict):
+    """Rows of ``scores`` of the words met so far; row 0 is for words without a letter."""
+
+    def __init__(self, model: Model) -> None:
+        super().__init__()
+        self.model, self.scores, self.used = model, np.zeros((1024, len(model.langs))), 1
+
+    def clear(self) -> None:
+        super().clear()
+        self.used = 1
+
+    def __missing__(self, word: str) -> int:
+        key = bare(word)
+        if not key:
+            self[word] = 0
+            return 0
+        if self.used == len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.scores[self.used] = self.model.word(key)
+        self[word] = self.used
+        self.used += 1
+        return self.used - 1
+
+
 def train(labelled: DataFrame, vocabulary: int = VOCABULARY) -> Model:
     """Count the words of all rows of ``labelled`` (text, lang) and keep the most frequent of each language.
 
@@ -140,14 +160,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
     that has learned from nothing. Ties go to the language first in order. Columns of ``docs`` named
     like the new ones are replaced.
     """
-    memory: dict = {}  # per task; Spark broadcasts the function and the model in it
+    # Spark broadcasts the function with the model in it.
 
     @F.pandas_udf("struct<lang: string, score: double>")
-    def predicted(texts):
-        import pandas as pd
-
-        found = [model.predict(t, memory) for t in texts]
-        return pd.DataFrame(found, columns=["lang", "score"])
+    def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory = Memory(model)
+        for texts in parts:
+            yield pd.DataFrame([model.predict(t, memory) for t in texts], columns=["lang", "score"])
 
     made = docs.withColumn("_langid", predicted(F.col(text)))
     return made.withColumn(pred, F.col("_langid.lang")).withColumn(score, F.col("_langid.score")).drop("_langid")
