@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import langid, lmscore, minhash, packing, secrets, substrings
+from affinia.llm import langid, lines, lmscore, minhash, packing, secrets, substrings
 from affinia.llm.common import fold
 
 
@@ -31,6 +31,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", "kept_text")
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -63,6 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_lines": op2_lines,
     "op6_substrings": op6_substrings,
     "op7_langid": op7_langid,
     "op8_minhash": op8_minhash,
