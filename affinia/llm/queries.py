@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import langid, lines, lmscore, minhash, packing, secrets, substrings
+from affinia.llm import langid, lines, lmscore, minhash, mixing, packing, secrets, substrings
 from affinia.llm.common import fold
 
 
@@ -36,6 +36,17 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", "kept_text")
 
 
+#: Shares of the mixture, and how a row of ``labels`` names its domain.
+MIXTURE = {"good": 0.80, "plain": 0.19, "toxic": 0.01}
+DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "plain")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.train(docs, read(spark, sf_dir, "labels"), DOMAIN, list(MIXTURE))
+    return mixing.mix(docs, model, MIXTURE).select("doc_id", "tokens", "posteriors", "rate", "copies")
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -69,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_lines": op2_lines,
+    "op3_mixing": op3_mixing,
     "op6_substrings": op6_substrings,
     "op7_langid": op7_langid,
     "op8_minhash": op8_minhash,
