@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinia.llm.stages import identify_language
+from affinia.llm.stages import (
+    delete_repeated_lines,
+    identify_language,
+    keep_one_of_near_duplicates,
+    mix_domains,
+    pack_sequences,
+)
 
 STAGES = [
     ("language", identify_language),
+    ("lines", delete_repeated_lines),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("mixing", mix_domains),
+    ("packing", pack_sequences),
 ]
 
 #: Trained models, iteration and tokenizers are not for SQL; tests compare with brute force.
