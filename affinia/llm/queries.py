@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import bitsearch, langid, lines, lmscore, minhash, mixing, packing, secrets, substrings
+from affinia.llm import bitsearch, langid, lines, lmscore, minhash, mixing, nndescent, packing, secrets, substrings
 from affinia.llm.common import fold
 
 
@@ -47,6 +47,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, model, MIXTURE).select("doc_id", "tokens", "posteriors", "rate", "copies")
 
 
+def op4_nndescent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op5_bitsearch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsearch.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_lines": op2_lines,
     "op3_mixing": op3_mixing,
+    "op4_nndescent": op4_nndescent,
     "op5_bitsearch": op5_bitsearch,
     "op6_substrings": op6_substrings,
     "op7_langid": op7_langid,
