@@ -36,6 +36,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _unit(vectors: DataFrame) -> DataFrame:
+    """(id, label, v) with v scaled to length one; no square overflows or vanishes."""
+
+    def run(batches) -> Iterator[dict]:
+        for batch in batches:
+            if batch.num_rows:
+                v = _matrix(batch.column(2))
+                v = v / np.abs(v).max(1, keepdims=True)
+                v = v / np.sqrt((v * v).sum(1, keepdims=True))
+                yield {"id": batch.column(0), "label": batch.column(1), "v": list(v)}
+
+    kinds = ", ".join(f"{c} {vectors.schema[c].dataType.simpleString()}" for c in ("id", "label"))
+    return map_batches(vectors.select("id", "label", "v"), run, f"{kinds}, v array<double>")
+
+
 def _codes(vectors: DataFrame, seed: int) -> DataFrame:
     """``vectors`` with the signs of 62 random projections in ``code``."""
 
@@ -199,10 +214,7 @@ def near_duplicates(
     named = docs.select(F.col(vec_id).alias("id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v"))
     rows = named.where(usable("v") & F.col("id").isNotNull() & F.col("label").isNotNull())
     rows = rows.groupBy("id").agg(F.min(F.struct("v", "label")).alias("_r")).select("id", "_r.label", "_r.v")
-    largest = F.array_max(F.transform("v", F.abs))
-    scaled = F.transform("v", lambda x: x / largest)  # no square overflows or vanishes
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    rows = rows.withColumn("v", F.transform(scaled, lambda x: x / norm))
+    rows = _unit(rows)
     rows = scratch.keep(rows)
     classes = rows.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     classes = scratch.keep(classes.select("id", "label", "v", "copies"))
