@@ -38,12 +38,12 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Shares of the mixture, and how a row of ``labels`` names its domain.
 MIXTURE = {"good": 0.80, "plain": 0.19, "toxic": 0.01}
-DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "plain")
+DOMAIN = "case when toxic = 1 then 'toxic' when quality = 1 then 'good' when quality = 0 then 'plain' end"
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = mixing.train(docs, read(spark, sf_dir, "labels"), DOMAIN, list(MIXTURE))
+    model = mixing.train(docs, read(spark, sf_dir, "labels"), F.expr(DOMAIN), list(MIXTURE))
     return mixing.mix(docs, model, MIXTURE).select("doc_id", "tokens", "posteriors", "rate", "copies")
 
 

@@ -37,7 +37,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate asks for, from not at all to several times."""
-    model = mixing.train(docs, read(spark, sf_dir, "labels"), DOMAIN, list(MIXTURE))
+    model = mixing.train(docs, read(spark, sf_dir, "labels"), F.expr(DOMAIN), list(MIXTURE))
     mixed = mixing.mix(docs, model, MIXTURE)
     copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     return mixed.where("copies > 0").withColumn("_copy", copies).select(docs.columns)
