@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinia.llm.common import Scratch, WordHashes, ascii_lower, map_batches, mix, run_hashes, values
@@ -110,6 +110,14 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * F.col("_both") >= percent * (F.size("_a") + F.size("_b") - F.col("_both"))).select("a", "b")
 
 
+def _apart(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different components."""
+    for end in ("a", "b"):
+        named = grouped.select(F.col("id").alias(end), F.col("component").alias(f"_c{end}"))
+        pairs = pairs.join(named, end, "left").withColumn(f"_c{end}", F.coalesce(f"_c{end}", end))
+    return pairs.where("_ca <> _cb").select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -120,8 +128,9 @@ def near_duplicates(
     """doc_id, n_shingles, component_id (smallest id linked, directly or not), kept (doc_id = component_id).
 
     Words are white-space separated with A-Z lowered. Documents with equal sets share one
-    representative; a band's members are compared with its smallest member, and then, where a band still
-    joins several components, with all members of the others, so no link between components is missed.
+    representative. A band's members are compared with its smallest member: first each with one of its
+    bands' smallest, then with the others it is still apart from. Where a band then still joins several
+    components, members of different ones are compared, so no link between components is missed.
     Empty and null texts have no shingles and are linked with nothing; a null id is in no group and not
     kept; repeated rows are one document each with the same answer; an empty table gives no rows.
     """
@@ -132,14 +141,17 @@ def near_duplicates(
     classes = sets_of.agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = scratch.keep(classes)
     banded = classes.select("rep", "n", F.posexplode("bands").alias("i", "band"))
-    shared = banded.groupBy("i", "band").agg(F.min("rep").alias("centre"), F.count("*").alias("_n")).where("_n > 1")
-    banded = scratch.keep(banded.join(shared.select("i", "band", "centre"), ["i", "band"]).select("i", "band", "rep", "n", "centre"))
+    least = F.min(F.struct("rep", "n"))
+    shared = banded.groupBy("i", "band").agg(least.alias("_c"), F.count("*").alias("_n")).where("_n > 1")
+    shared = shared.select("i", "band", F.col("_c.rep").alias("centre"), F.col("_c.n").alias("n_centre"))
+    banded = scratch.keep(banded.join(shared, ["i", "band"]).select("i", "band", "rep", "n", "centre", "n_centre"))
+
+    def fits(one: str, other: str) -> Column:
+        """Whether sets of these sizes can be similar enough."""
+        return F.col(one).between(F.col(other) * percent / 100.0 - 1, F.col(other) * 100.0 / percent + 1)
 
-    stars = banded.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    sizes = classes.select(F.col("rep").alias("a"), F.col("n").alias("_na"))
-    fits = F.col("_na").between(F.col("_nb") * percent / 100.0 - 1, F.col("_nb") * 100.0 / percent + 1)
-    stars = stars.join(sizes, "a").join(classes.select(F.col("rep").alias("b"), F.col("n").alias("_nb")), "b").where(fits)
-    stars = scratch.keep(stars.select("a", "b"))
+    stars = banded.where("rep <> centre").where(fits("n_centre", "n"))
+    stars = scratch.keep(stars.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
 
     wanted = banded.select("rep").distinct()
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
@@ -149,8 +161,14 @@ def near_duplicates(
     named = classes.select(F.col("rep").alias("id"), "set_id")
     sets = shingle_sets(texts, shingle).join(named, ["id", "set_id"]).dropDuplicates(["id", "set_id"])
     sets = scratch.keep(sets.select("id", "set"))
-    links = scratch.keep(confirm(stars, sets, percent))
+    # Each representative meets its smallest centre first; other centres only if that leaves them apart.
+    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = scratch.keep(confirm(nearest, sets, percent))
     grouped = scratch.keep(components(links, scratch))
+    apart = scratch.keep(_apart(stars.join(nearest, ["a", "b"], "left_anti"), grouped))
+    if not apart.isEmpty():
+        links = scratch.keep(links.unionByName(confirm(apart, sets, percent)))
+        grouped = scratch.keep(components(links, scratch))
 
     # Bands that still hold several components: all their members of different components meet.
     labelled = banded.join(grouped, banded["rep"] == grouped["id"], "left").select(
@@ -160,7 +178,7 @@ def near_duplicates(
     open_ = labelled.join(several.where("_lo < _hi").select("i", "band"), ["i", "band"])
     one = open_.select("i", "band", F.col("rep").alias("a"), F.col("n").alias("_na"), F.col("component").alias("_ca"))
     two = open_.select("i", "band", F.col("rep").alias("b"), F.col("n").alias("_nb"), F.col("component").alias("_cb"))
-    rest = one.join(two, ["i", "band"]).where((F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & fits)
+    rest = one.join(two, ["i", "band"]).where((F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & fits("_na", "_nb"))
     rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = scratch.keep(confirm(rest, sets, percent))
     if not more.isEmpty():
