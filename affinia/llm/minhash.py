@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.llm.common import Scratch, WordHashes, ascii_lower, map_batches, mix, run_hashes, values
@@ -110,6 +110,29 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * F.col("_both") >= percent * (F.size("_a") + F.size("_b") - F.col("_both"))).select("a", "b")
 
 
+def prefix_pairs(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """(a, b) of (id, set, component): every pair of different components that can be similar enough.
+
+    Two sets that share ``percent`` of their union also share one of the rarest elements of each, if as
+    many are taken as a similar set may lack, and one more. Copies with changes of their own
+    differ in rare elements, so a group of them meets in few pairs.
+    """
+    elements = scratch.keep(sets.select("id", "component", F.size("set").alias("n"), F.explode("set").alias("x")))
+    found = elements.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
+    rarest = Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "x")
+    ranked = elements.join(found, "x", "left").withColumn("_r", F.row_number().over(rarest))
+    prefix = scratch.keep(ranked.where(f"df > 1 and _r <= n - ({percent} * n + 99) div 100 + 1").select("id", "component", "n", "x"))
+    one, two = (prefix.select("x", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "component", "n")]) for e in "ab")
+    differ = "x_a = x_b and id_a < id_b and component_a <> component_b and 100 * n_a >= {0} * n_b and 100 * n_b >= {0} * n_a"
+    met = one.withColumnRenamed("x", "x_a").join(two.withColumnRenamed("x", "x_b"), F.expr(differ.format(percent)))
+    both = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
+        F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    )
+    # Beyond the rarest elements of one of them, a pair shares at most what that one has left.
+    left = F.expr(f"greatest(({percent} * n_a + 99) div 100, ({percent} * n_b + 99) div 100) - 1")
+    return both.where((100 + percent) * (F.col("c") + left) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
 def _apart(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
     """The pairs (a, b) whose ends are in different components."""
     for end in ("a", "b"):
@@ -128,9 +151,9 @@ def near_duplicates(
     """doc_id, n_shingles, component_id (smallest id linked, directly or not), kept (doc_id = component_id).
 
     Words are white-space separated with A-Z lowered. Documents with equal sets share one
-    representative. A band's members are compared with its smallest member: first each with one of its
-    bands' smallest, then with the others it is still apart from. Where a band then still joins several
-    components, members of different ones are compared, so no link between components is missed.
+    representative. A band's members are compared with its centre, the member with the most company in all its
+    bands: first each with its best placed centre, then with the others it is still apart from. Where a band then still joins several
+    components, members of different ones that share a rare shingle are compared, so no link between components is missed.
     Empty and null texts have no shingles and are linked with nothing; a null id is in no group and not
     kept; repeated rows are one document each with the same answer; an empty table gives no rows.
     """
@@ -141,17 +164,21 @@ def near_duplicates(
     classes = sets_of.agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = scratch.keep(classes)
     banded = classes.select("rep", "n", F.posexplode("bands").alias("i", "band"))
-    least = F.min(F.struct("rep", "n"))
-    shared = banded.groupBy("i", "band").agg(least.alias("_c"), F.count("*").alias("_n")).where("_n > 1")
-    shared = shared.select("i", "band", F.col("_c.rep").alias("centre"), F.col("_c.n").alias("n_centre"))
-    banded = scratch.keep(banded.join(shared, ["i", "band"]).select("i", "band", "rep", "n", "centre", "n_centre"))
+    shared = banded.groupBy("i", "band").agg(F.count("*").alias("size")).where("size > 1")
+    banded = scratch.keep(banded.join(shared, ["i", "band"]))
+    # The more company a representative has in its bands, the nearer it is to the middle of its group.
+    hubs = banded.groupBy("rep").agg(F.sum("size").alias("hub"))
+    banded = scratch.keep(banded.drop("size").join(hubs, "rep"))
+    centre = banded.groupBy("i", "band").agg(F.max(F.struct("hub", "rep", "n")).alias("centre"))
 
     def fits(one: str, other: str) -> Column:
         """Whether sets of these sizes can be similar enough."""
         return F.col(one).between(F.col(other) * percent / 100.0 - 1, F.col(other) * 100.0 / percent + 1)
 
-    stars = banded.where("rep <> centre").where(fits("n_centre", "n"))
-    stars = scratch.keep(stars.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    met = banded.join(centre, ["i", "band"]).select(
+        F.col("centre.rep").alias("a"), F.col("rep").alias("b"), F.col("centre.hub").alias("hub"), F.col("centre.n").alias("_na"), F.col("n").alias("_nb")
+    )
+    stars = scratch.keep(met.where("a <> b").where(fits("_na", "_nb")).select("a", "b", "hub").distinct())
 
     wanted = banded.select("rep").distinct()
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
@@ -161,8 +188,8 @@ def near_duplicates(
     named = classes.select(F.col("rep").alias("id"), "set_id")
     sets = shingle_sets(texts, shingle).join(named, ["id", "set_id"]).dropDuplicates(["id", "set_id"])
     sets = scratch.keep(sets.select("id", "set"))
-    # Each representative meets its smallest centre first; other centres only if that leaves them apart.
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # Each representative meets its best placed centre first; other centres only if that leaves them apart.
+    nearest = stars.groupBy("b").agg(F.max(F.struct("hub", "a")).alias("_best")).select(F.col("_best.a").alias("a"), "b")
     links = scratch.keep(confirm(nearest, sets, percent))
     grouped = scratch.keep(components(links, scratch))
     apart = scratch.keep(_apart(stars.join(nearest, ["a", "b"], "left_anti"), grouped))
@@ -170,16 +197,15 @@ def near_duplicates(
         links = scratch.keep(links.unionByName(confirm(apart, sets, percent)))
         grouped = scratch.keep(components(links, scratch))
 
-    # Bands that still hold several components: all their members of different components meet.
+    # Bands that still hold several components: their members of different components meet.
     labelled = banded.join(grouped, banded["rep"] == grouped["id"], "left").select(
-        "i", "band", "rep", "n", F.coalesce("component", "rep").alias("component")
+        "i", "band", F.col("rep").alias("id"), F.coalesce("component", "rep").alias("component")
     )
     several = labelled.groupBy("i", "band").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-    open_ = labelled.join(several.where("_lo < _hi").select("i", "band"), ["i", "band"])
-    one = open_.select("i", "band", F.col("rep").alias("a"), F.col("n").alias("_na"), F.col("component").alias("_ca"))
-    two = open_.select("i", "band", F.col("rep").alias("b"), F.col("n").alias("_nb"), F.col("component").alias("_cb"))
-    rest = one.join(two, ["i", "band"]).where((F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & fits("_na", "_nb"))
-    rest = rest.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    open_ = labelled.join(several.where("_lo < _hi").select("i", "band"), ["i", "band"]).select("id", "component").distinct()
+    rest = prefix_pairs(sets.join(open_, "id"), scratch, percent)
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = scratch.keep(rest.join(tried, ["a", "b"], "left_anti"))
     more = scratch.keep(confirm(rest, sets, percent))
     if not more.isEmpty():
         grouped = scratch.keep(components(links.unionByName(more), scratch))
