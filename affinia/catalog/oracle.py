@@ -79,7 +79,6 @@ def recs_sql(
     n: int,
     prefs: str = "ui",
     boolean: bool = False,
-    max_prefs: int = 10,
     users: str = "",
     candidates: str = "",
     exclude: str = "",
@@ -89,10 +88,7 @@ def recs_sql(
     score = "sum(s.sim)" if boolean else f"sum(s.sim * c.pref) / sum(abs(s.sim))"
     support = 1 if boolean else 2
     return f"""considered AS (
-  SELECT * FROM (
-    SELECT "user", item, {pref} AS pref,
-           row_number() OVER (PARTITION BY "user" ORDER BY abs({pref}) DESC, item) AS r
-    FROM {prefs} {users}) WHERE r <= {max_prefs}),
+  SELECT "user", item, {pref} AS pref FROM {prefs} {users}),
 proposed AS (
   SELECT c."user", s.other AS item, round({score}, 9) AS score
   FROM considered c JOIN neighbours s ON s.item = c.item {candidates}
@@ -406,7 +402,7 @@ excluded AS (SELECT DISTINCT "user", item + 1 AS item FROM ui_dup WHERE flag = '
         "UNION ALL SELECT 'statistics_results', 'b01_' || kind, part, keys_list FROM lists",
     ),
     "recommend_run_tables": _with(
-        f"{UI}, {similar_sql('loglikelihood', 80)}, {recs_sql(11, boolean=True, max_prefs=500)}",
+        f"{UI}, {similar_sql('loglikelihood', 80)}, {recs_sql(11, boolean=True)}",
         "SELECT 'recommend_results' AS table_name, 'b01_' || \"user\" AS target_id, CAST(0 AS BIGINT) AS part, "
         "string_agg(CAST(item AS VARCHAR), ',' ORDER BY rank) AS value FROM recs GROUP BY \"user\"",
     ),

@@ -468,7 +468,7 @@ def association_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def recommend_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "recommend")
-    options = RecommendOptions(measure="loglikelihood", n=11, boolean=True, k=80, max_prefs=500)
+    options = RecommendOptions(measure="loglikelihood", n=11, boolean=True, k=80)
     recommend_run(fx.ui_dup(spark, sf_dir).select("user", "item", "pref"), BATCH, options, base)
     return _read_back(spark, base, results.RECOMMEND_RESULTS, _lists())
 

@@ -66,7 +66,9 @@ class Measure:
         if self.digits is None:
             return value
         scale = 10.0**self.digits
-        return F.floor(value * scale + 0.5) / scale
+        shifted = value * scale + 0.5
+        # Not F.floor, whose result is a whole number of 64 bits and saturates.
+        return (shifted - F.pmod(shifted, F.lit(1.0))) / scale
 
     def __post_init__(self) -> None:
         unknown = set(self.row_stats + self.pair_stats + self.bound_stats) - set(ITEM_STATS)
@@ -121,7 +123,7 @@ CITY_BLOCK = Measure(
 )
 COSINE = Measure(
     "cosine",
-    lambda p: p.dot / (F.sqrt(p.a["norm2"]) * F.sqrt(p.b["norm2"])),
+    lambda p: F.try_divide(p.dot, F.sqrt(p.a["norm2"]) * F.sqrt(p.b["norm2"])),
     pair_stats=("norm2",),
     upper_bound=lambda a, b: F.least(a["n"], b["n"])
     * a["peak"]

@@ -21,7 +21,7 @@ def recommend(
     similar: DataFrame,
     n: int = 10,
     boolean: bool = False,
-    max_prefs: int | None = 10,
+    max_prefs: int | None = None,
     min_support_items: int = 2,
     users: DataFrame | None = None,
     items: DataFrame | None = None,
@@ -31,7 +31,7 @@ def recommend(
     """Best ``n`` new items of each user: ``user, item, score, rank``.
 
     ``prefs`` is unique on (user, item); ``similar`` has ``item, other, sim``. Each of a
-    user's ``max_prefs`` strongest items proposes its similar items. With ``boolean`` the
+    user's items proposes its similar items; with ``max_prefs`` only so many of the strongest. With ``boolean`` the
     score is the sum of the similarities, otherwise the similarity-weighted mean of the
     preferences, for candidates proposed by at least ``min_support_items`` items.
 

@@ -73,7 +73,7 @@ def similar_pairs(
         return {s: F.col(f"{s}{suffix}") for s in ITEM_STATS}
 
     # The bound is compared with a margin, as the similarity is rounded afterwards.
-    keep = bound(of("_a"), of("_b")) >= threshold - 10.0**-(m.digits or 9) if bound else None
+    keep = bound(of("_a"), of("_b")) >= threshold - 10.0 ** -(9 if m.digits is None else m.digits) if bound else None
     carry = ["weight", *sorted(carried)] if m.uses_dot else sorted(carried)
     pairs = pairs_within(rows, "user", "item", carry, prefs, "pref", rows_per_block, keep)
     stats_columns = [f"{s}{x}" for s in sorted(m.pair_stats) for x in ("_a", "_b")]

@@ -39,7 +39,7 @@ class RecommendOptions:
     """Options of a recommendation run; the defaults are the usual ones.
 
     ``max_prefs_in_similarity`` samples heavier users down before items are paired;
-    None pairs all of their items.
+    by default all of their items are paired.
     """
 
     measure: str | Measure = "cooccurrence"
@@ -48,8 +48,8 @@ class RecommendOptions:
     k: int = 100
     threshold: float | None = None
     min_prefs_per_user: int = 1
-    max_prefs_in_similarity: int | None = 1000
-    max_prefs: int | None = 10
+    max_prefs_in_similarity: int | None = None
+    max_prefs: int | None = None
     users: DataFrame | None = None
     items: DataFrame | None = None
     exclude: DataFrame | None = None

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -37,16 +39,11 @@ def row_key(batch_id: str, *parts: Column | str) -> Column:
 def write_results(df: DataFrame, base: str, table: str, batch_id: str) -> str:
     """Write ``df`` as the rows of one batch of a result table; returns the table path.
 
-    Only the partition of this batch is replaced, so a run may be repeated.
+    Only the folder of this batch is replaced, also by no rows, so a run may be repeated.
     """
     path = f"{base.rstrip('/')}/{table}"
-    (
-        df.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    folder = quote(f"batch_id={batch_id}", safe="= ")
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/{folder}")
     return path
 
 
@@ -68,11 +65,14 @@ def write_split(df: DataFrame, path: str) -> None:
 
 
 def write_tables(tables: dict[str, DataFrame], base: str | None, batch_id: str) -> dict[str, DataFrame]:
-    """Write each table of a run if ``base`` is given; returns the tables."""
-    if base is not None:
-        for name, table in tables.items():
-            write_results(table, base, name, batch_id)
-    return tables
+    """Write each table of a run if ``base`` is given; returns the tables, as stored if they were."""
+    if base is None:
+        return tables
+    stored = {}
+    for name, table in tables.items():
+        write_results(table, base, name, batch_id)
+        stored[name] = read_results(table.sparkSession, base, name, batch_id).select(table.columns)
+    return stored
 
 
 def item_list_results(lists: DataFrame, key: str, batch_id: str) -> DataFrame:
