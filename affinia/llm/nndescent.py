@@ -2,9 +2,9 @@
 
 The graph starts from runs of vectors that lie side by side in random hyperplane orders. Each round
 joins the neighbours of every vector with one another and keeps what is nearer than a list's last entry. A
-list full of links is saturated: it is enlarged to all vectors of its component, counted in blocks of
-bounded size. An audit compares a sample with all vectors and starts anew from further orders
-while it finds links between components.
+list full of links is saturated and may hide links to other groups, so the components of the graph are only
+a first grouping: an audit compares all vectors of a label with one another, in blocks of bounded size, and
+joins every two components that a link connects. The links of a component are counted in blocks as well.
 """
 
 from __future__ import annotations
@@ -23,12 +23,11 @@ from affinia.llm.components import components
 THRESHOLD = 0.93
 #: Length of the lists, and of the runs that they start from.
 NEIGHBOURS, RUN = 8, 256
-#: Random orders per start; a round that changes a smaller share of the entries is the last.
+#: Random orders to start from; a round that changes a smaller share of the entries is the last.
 ORDERS, SETTLED = 3, 0.002
-ROUNDS, STARTS = 10, 3
-#: Vectors that the audit compares with all others.
-AUDIT = 256
-BLOCK = 1024
+ROUNDS = 10
+#: Vectors of a block when links are counted, and when components are audited; rows compared at once.
+BLOCK, AUDIT_BLOCK, SLICE = 1024, 4096, 1024
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -179,23 +178,55 @@ def _counts(members: DataFrame, threshold: float, id_type: str) -> DataFrame:
     return parts.groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def _audit(members: DataFrame, threshold: float, id_type: str) -> DataFrame:
-    """(a, b, cos): links of a sample of vectors that join different components, among all vectors."""
-    sample = members.orderBy(F.xxhash64("id"), "id").limit(AUDIT).toPandas()
-    if not len(sample):
-        return members.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("cos")).limit(0)
-    ids, labels, comps, v = sample["id"].values, sample["label"].values, sample["component"].values, np.stack(sample["v"])
+def _audit(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): every two components that a link connects, from all pairs of vectors of a label.
+
+    The blocks of a label meet in cells, and each task holds one cell at a time.
+    """
+    blocks = members.groupBy("label").agg(F.ceil(F.count("*") / AUDIT_BLOCK).cast("int").alias("_blocks"))
+    placed = members.join(blocks, "label").withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    dealt = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cell = ["label", "_lo", "_hi"]
+    dealt = dealt.select(
+        "label", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"), "_own", "component", "v"
+    )
+    dealt = dealt.repartition(*cell).sortWithinPartitions(*cell)
+
+    def joined(low: int, high: int, own: np.ndarray, comps: np.ndarray, v: np.ndarray) -> dict:
+        # Off the diagonal only the pairs of the two blocks are new.
+        one, two = (own == low, own == high) if low != high else (slice(None), slice(None))
+        met: list[np.ndarray] = []
+        mine, left, others, right = comps[one], v[one], comps[two], v[two]
+        for at in range(0, len(mine), SLICE):
+            i, j = np.nonzero(left[at : at + SLICE] @ right.T >= threshold)
+            pairs = np.stack([mine[at + i], others[j]], 1)
+            met.append(np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0))
+        found = np.unique(np.concatenate(met), axis=0) if met else np.empty((0, 2), comps.dtype)
+        return {"a": found[:, 0], "b": found[:, 1]}
 
     def run(batches) -> Iterator[dict]:
+        key, held = None, []
+
+        def out() -> dict:
+            own, comps, v = (np.concatenate(c) for c in zip(*held, strict=True))
+            return joined(*key[1:], own, comps, v)
+
         for batch in batches:
-            if batch.num_rows:
-                other = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-                cos = v @ _matrix(batch.column(3)).T
-                missed = (cos >= threshold) & (labels[:, None] == other[1][None]) & (comps[:, None] != other[2][None])
-                i, j = np.nonzero(missed)
-                yield {"a": ids[i], "b": other[0][j], "cos": cos[i, j]}
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], 1)
+            starts = np.append(0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1)
+            for x, y in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
+                if held and tuple(keys[x]) != key:
+                    yield out()
+                    held = []
+                key, part = tuple(keys[x]), batch.slice(x, y - x)
+                held.append((*(part.column(i).to_numpy(zero_copy_only=False) for i in (3, 4)), _matrix(part.column(5))))
+        if held:
+            yield out()
 
-    return map_batches(members.select("id", "label", "component", "v"), run, f"a {id_type}, b {id_type}, cos double")
+    kind = members.schema["component"].dataType.simpleString()
+    return map_batches(dealt, run, f"a {kind}, b {kind}").distinct()
 
 
 def near_duplicates(
@@ -221,35 +252,25 @@ def near_duplicates(
     vectors = classes.select("id", "label", "v")
     n = classes.count()
 
-    edges, extra = None, None
-    for attempt in range(STARTS):
-        starts = [_start(vectors, attempt * ORDERS + i, id_type) for i in range(ORDERS)]
-        for s in [*starts[1:], *([edges] if edges is not None else []), *([extra] if extra is not None else [])]:
-            starts[0] = starts[0].unionByName(s)
-        edges = scratch.keep(_lists(starts[0], NEIGHBOURS))
-        for _ in range(ROUNDS):
-            better = scratch.keep(_descend(edges, vectors, threshold, id_type).distinct())
-            following = scratch.keep(_lists(edges.unionByName(better), NEIGHBOURS))
-            changed = following.join(edges, ["a", "b"], "left_anti").count()
-            edges = following
-            if changed <= SETTLED * NEIGHBOURS * n:
-                break
-        links = edges.where(F.col("cos") >= threshold).select("a", "b")
-        if extra is not None:
-            links = links.unionByName(extra.select("a", "b"))
-        grouped = scratch.keep(components(links, scratch))
-        members = classes.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        members = scratch.keep(members)
-        found = scratch.keep(_audit(members, threshold, id_type))
-        if found.isEmpty():
+    starts = [_start(vectors, i, id_type) for i in range(ORDERS)]
+    for other in starts[1:]:
+        starts[0] = starts[0].unionByName(other)
+    edges = scratch.keep(_lists(starts[0], NEIGHBOURS))
+    for _ in range(ROUNDS):
+        better = scratch.keep(_descend(edges, vectors, threshold, id_type).distinct())
+        following = scratch.keep(_lists(edges.unionByName(better), NEIGHBOURS))
+        changed = following.join(edges, ["a", "b"], "left_anti").count()
+        edges = following
+        if changed <= SETTLED * NEIGHBOURS * n:
             break
-        extra = found if extra is None else scratch.keep(extra.unionByName(found))
-
-    if not found.isEmpty():  # the audit's own links count as well
-        grouped = scratch.keep(components(links.unionByName(found.select("a", "b")), scratch))
-        members = scratch.keep(
-            classes.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        )
+    grouped = components(edges.where(F.col("cos") >= threshold).select("a", "b"), scratch)
+    members = classes.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = scratch.keep(members)
+    found = scratch.keep(_audit(members, threshold))
+    if not found.isEmpty():  # all pairs were compared: with these, no link between components is left
+        merged = components(found, scratch).select(F.col("id").alias("component"), F.col("component").alias("_least"))
+        members = members.join(merged, "component", "left").withColumn("component", F.coalesce("_least", "component"))
+        members = scratch.keep(members.drop("_least"))
     several = members.groupBy("component").agg(F.count("*").alias("_n")).where("_n > 1").select("component")
     counted = _counts(members.join(several, "component"), threshold, id_type)
     totals = members.join(counted, "id", "left").select(

@@ -41,6 +41,19 @@ def test_nndescent(spark):
     assert all(got[i] == (1, i - i % 2, i % 2 == 0) for i in range(2, 60))
 
 
+def test_nndescent_joins_groups_with_saturated_lists(spark):
+    # Two groups of nine: 0.99 within, 0.94 across. Every list of eight fills inside its own group.
+    table = []
+    for g in range(150):
+        q = np.linalg.qr(np.random.default_rng(g).standard_normal((64, 64)))[0]
+        for half in range(2):
+            for i in range(9):
+                v = np.sqrt(0.94) * q[0] + np.sqrt(0.05) * q[1 + half] + np.sqrt(0.01) * q[3 + 9 * half + i]
+                table.append((18 * g + 9 * half + i, v.tolist(), g % 2))
+    got = nndescent.near_duplicates(spark.createDataFrame(table, SCHEMA).repartition(4)).collect()
+    assert sorted(map(tuple, got)) == [(i, 17, i - i % 18, i % 18 == 0) for i in range(2700)]
+
+
 def test_mixing(spark):
     table = [(i, ("sun rain wind " if i % 3 else "iron coal tin ") * (1 + i % 5)) for i in range(300)] + [(900, None), (901, "")]
     docs = spark.createDataFrame(table, "doc_id bigint, text string")
