@@ -5,7 +5,8 @@ are the dense order of the pairs (rank here, rank k lines further on), so each r
 document, a distributed sort of distinct pairs and a join. A position whose next k lines occur nowhere
 else is settled and leaves the rounds, as nothing that begins there can repeat. Positions of equal
 rank at depth L are the suffix array's intervals of longest common prefix L or more: each holds all
-copies of a run, of which the earliest stays. Runs longer than L are the unions of such runs.
+copies of a run, of which the earliest stays. A run counts by its lines or by its words in all, so every
+depth below ``min_lines`` is judged by its words; longer runs are the unions of runs of ``min_lines``.
 """
 
 from __future__ import annotations
@@ -20,22 +21,27 @@ from pyspark.sql import functions as F
 from affinia.llm.common import Scratch, map_batches, values
 from affinia.operators.ids import id_dictionary
 
-#: A run counts if it has this many lines, or is one line of this many words.
+#: A run counts if it has this many lines, or this many words in all.
 MIN_LINES, MIN_WORDS = 3, 40
 
 
 def _split(docs: DataFrame, id_type: str) -> DataFrame:
-    """(k1, k2, doc, seq, h1, h2, words): a row per line that is not blank; seq counts these lines."""
+    """(k1, k2, doc, seq, h1, h2, before, upto): a row per line that is not blank; seq counts these lines.
+
+    before and upto: words of the document ahead of the line, and up to its end.
+    """
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("k1", "k2", "doc", "seq", "h1", "h2", "words")}
+            out: dict[str, list] = {k: [] for k in ("k1", "k2", "doc", "seq", "h1", "h2", "before", "upto")}
             for k1, k2, doc, text in values(batch, "_k1", "_k2", "_id", "_text"):
                 lines = [w for w in (x.strip() for x in (text or "").split("\n")) if w]
+                upto = 0
                 for seq, line in enumerate(lines):
                     raw = line.encode("utf-8", "surrogatepass")
                     digest = np.frombuffer(xxhash.xxh3_128_digest(raw), ">i8")
-                    row = (k1, k2, doc, seq, int(digest[0]), int(digest[1]), len(raw.split()))
+                    before, upto = upto, upto + len(raw.split())
+                    row = (k1, k2, doc, seq, int(digest[0]), int(digest[1]), before, upto)
                     for column, value in zip(out.values(), row, strict=True):
                         column.append(value)
                     if len(out["seq"]) >= 100_000:
@@ -44,7 +50,7 @@ def _split(docs: DataFrame, id_type: str) -> DataFrame:
             if out["seq"]:
                 yield out
 
-    return map_batches(docs, run, f"k1 bigint, k2 bigint, doc {id_type}, seq int, h1 bigint, h2 bigint, words int")
+    return map_batches(docs, run, f"k1 bigint, k2 bigint, doc {id_type}, seq int, h1 bigint, h2 bigint, before bigint, upto bigint")
 
 
 def _ranked(positions: DataFrame, pair: tuple[str, str], scratch: Scratch) -> DataFrame:
@@ -57,9 +63,10 @@ def _ranked(positions: DataFrame, pair: tuple[str, str], scratch: Scratch) -> Da
 
 
 def _ahead(positions: DataFrame, distance: int) -> DataFrame:
-    """Positions with the rank ``distance`` lines further on in their document, where it has one."""
+    """Positions with the rank ``distance`` lines further on in their document, where it has one; upto follows."""
     there = Window.partitionBy("k1", "k2").orderBy("seq").rangeBetween(distance, distance)
-    return positions.withColumn("_next", F.first("rank").over(there)).where("_next is not null")
+    ahead = {"_next": F.first("rank").over(there), "upto": F.first("upto").over(there)}
+    return positions.withColumns(ahead).where("_next is not null")
 
 
 def _later(positions: DataFrame, length: int) -> DataFrame:
@@ -76,16 +83,17 @@ def repeated_runs(
     """(k1, k2, seq, length): later copies of runs, by document key and place of their first line."""
     # A document that comes in several equal rows counts as one.
     key = ["k1", "k2", "seq"]
-    lines = _split(docs, id_type).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("doc", "h1", "h2", "words")])
-    positions = _ranked(scratch.keep(lines), ("h1", "h2"), scratch)
-    found = _later(positions.where(F.col("words") >= min_words), 1)
-    positions, depth = positions.drop("words"), 1
+    lines = _split(docs, id_type).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("doc", "h1", "h2", "before", "upto")])
+    positions, depth = _ranked(scratch.keep(lines), ("h1", "h2"), scratch), 1
+    long_enough = F.col("upto") - F.col("before") >= min_words
+    found = _later(positions if min_lines <= 1 else positions.where(long_enough), 1)
     while depth < min_lines:
-        # The last round joins two overlapping runs if the length is no power of two.
-        step = min(depth, min_lines - depth)
-        positions = _ranked(_ahead(positions, step), ("rank", "_next"), scratch)
-        depth += step
-    return found.unionByName(_later(positions, min_lines))
+        # Two overlapping runs of this depth make each of the lengths up to twice the depth.
+        for length in range(depth + 1, min(2 * depth, min_lines) + 1):
+            deeper = _ranked(_ahead(positions, length - depth), ("rank", "_next"), scratch)
+            found = found.unionByName(_later(deeper if length == min_lines else deeper.where(long_enough), length))
+        positions, depth = deeper, length
+    return found
 
 
 def drop_lines(text: str | None, runs: list[tuple[int, int]]) -> tuple[int, int, str]:
@@ -104,7 +112,7 @@ def dedup_lines(
     """``docs`` with n_lines, n_removed and kept_text: later copies of repeated line runs are deleted.
 
     Lines end at U+000A and are compared without white space at their ends; blank lines are in no run
-    and stay. A run is ``min_lines`` lines, or one of ``min_words`` words. Its first copy, by doc_id
+    and stay. A run is ``min_lines`` lines, or any number with ``min_words`` words in all. Its first copy, by doc_id
     (null first) and line, stays unless it overlaps a later copy of some other run. Null and empty texts
     have no lines and an empty kept_text. Rows of equal doc_id and text are one document and fare alike. An
     empty table gives no rows. Columns of ``docs`` with the new names are replaced.

@@ -22,6 +22,19 @@ def test_lines(spark):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_counts_the_words_of_a_run(spark):
+    def line(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    two, few, four = f"{line('a', 35)}\n{line('b', 30)}", f"{line('c', 9)}\n{line('d', 9)}", [line(t, 14) for t in "efg"]
+    table = [(i, f"start {i}\n{two}\nmiddle {i}\n{few}\nend {i}\n" + "\n".join(four)) for i in range(3)]
+    docs = spark.createDataFrame(table, "doc_id bigint, text string")
+    # Three lines count by their words where min_lines is more, as do two; two short lines never do.
+    for min_lines in (3, 5, 8):
+        got = {r["doc_id"]: r["kept_text"] for r in lines.dedup_lines(docs, min_lines=min_lines).collect()}
+        assert got == {i: table[i][1] if i == 0 else f"start {i}\nmiddle {i}\n{few}\nend {i}" for i in range(3)}
+
+
 def test_bitsearch(spark):
     table = spark.createDataFrame(VECTORS, SCHEMA)
     got = bitsearch.nearest(table, table["vec_id"] % 20 == 0, 5).orderBy("query_id", "rank").collect()
