@@ -93,6 +93,18 @@ def test_langid(spark):
     assert langid.train(learned.limit(0)).predict("the", langid.Memory(langid.Model([], {}))) == ("und", 0.0)
 
 
+def test_langid_uses_all_words_whatever_the_head(spark):
+    text = {"en": "the house is on the hill and the river is near", "de": "das haus steht auf dem berg und der fluss ist nah", "xx": "ab"}
+    learned = spark.createDataFrame([(i, text[k], k) for i in range(5) for k in text], DOCS + ", lang string")
+    table = [(1, "The hills, the rivers"), (2, "die häuser, der berge"), (3, None), (4, ""), (5, "12 34 !"), (1, "The hills, the rivers")]
+    table += [(6, "berg near"), (7, "flusses"), (8, "qqq"), (9, "steht Haus 7"), (10, "rivermouth und")]
+    docs = spark.createDataFrame(table, DOCS)
+    whole, small = ([tuple(r) for r in langid.identify(docs, langid.train(learned, v)).select("doc_id", "lang_pred", "score").collect()] for v in (200_000, 2))
+    assert len(whole) == len(small) == len(table)
+    for a, b in zip(sorted(whole), sorted(small), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
+
+
 def test_lmscore(spark):
     table = [(i, " ".join(words(20 + i, i, 40))) for i in range(30)] + [(90, None), (91, ""), (92, "Never-seen W1"), (92, "Never-seen W1")]
     docs = spark.createDataFrame(table, DOCS)
