@@ -24,9 +24,8 @@ from affinia.llm.common import FLUSH, Scratch, map_batches, values
 
 WINDOW = 1024
 END_ID = 0
-#: Sources with a queue of their own; the rest, which could not fill a token per window, share one.
-QUEUES = 512
-_REST = "\x00rest"
+#: Numbers of a schedule that a task works out at once.
+CELLS = 2_000_000
 _NULL = "\x00null"
 _SPACES = re.compile(r"\s{2,}")
 
@@ -108,29 +107,59 @@ def tokenize(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
 
 
 class Schedule:
-    """How many tokens of each queue the first w windows take."""
+    """How many tokens of each queue the first w windows take.
+
+    Queues of equal total and weight are due alike and form a class; ``lane`` numbers the queues class by
+    class. However many queues there are, the work of a window grows with the classes only.
+    """
 
     def __init__(self, totals: list[int], weights: list[float], window: int) -> None:
-        self.totals = np.array(totals, np.int64)
-        self.weights = np.array(weights, float) / max(sum(weights), 1e-300)
-        self.window, self.all = window, int(self.totals.sum())
+        totals, weights = np.array(totals, np.int64), np.array(weights, float) / max(sum(weights), 1e-300)
+        order = np.lexsort((np.arange(len(totals)), weights, totals))
+        fresh = np.ones(len(order), bool)
+        t, w = totals[order], weights[order]
+        fresh[1:] = (t[1:] != t[:-1]) | (w[1:] != w[:-1])
+        first = np.flatnonzero(fresh)
+        self.lane = np.empty(len(order), np.int64)
+        self.lane[order] = np.arange(len(order))
+        self.kind = np.cumsum(fresh) - 1  # class of each lane
+        self.place = np.arange(len(order)) - first[self.kind] if len(order) else first
+        self.size = np.diff(np.append(first, len(order)))
+        self.totals, self.weights = t[first], w[first]
+        self.window, self.all = window, int(totals.sum())
 
     def due(self, times: np.ndarray) -> np.ndarray:
-        """Tokens due by each time, per queue."""
+        """Tokens due by each time, per queue of a class."""
         return np.minimum(np.floor(times[:, None] * self.weights + 0.5).astype(np.int64), self.totals)
 
-    def taken(self, windows: np.ndarray) -> np.ndarray:
-        """Tokens of each queue in the windows before each of ``windows``; a row sums to window * w."""
+    def taken(self, windows: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each lane in the windows before the one beside it, and those of all lanes ahead of it."""
+        own, ahead = np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64)
+        different, at = np.unique(windows, return_inverse=True)
+        step = max(1, CELLS // max(1, len(self.totals)))
+        for a in range(0, len(different), step):
+            mine = np.flatnonzero((at >= a) & (at < a + step))
+            own[mine], ahead[mine] = self._taken(different[a : a + step], at[mine] - a, lanes[mine])
+        return own, ahead
+
+    def _taken(self, windows: np.ndarray, row: np.ndarray, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         want = np.minimum(windows * self.window, self.all)
         low = np.zeros(len(want))
         high = np.full(len(want), float((self.totals / np.maximum(self.weights, 1e-300)).max(initial=0.0)) + 1.0)
         for _ in range(100):  # the largest time at which no more are due than wanted
             middle = (low + high) / 2
-            over = self.due(middle).sum(1) > want
+            over = self.due(middle) @ self.size > want
             high, low = np.where(over, middle, high), np.where(over, low, middle)
-        out, lacking = self.due(low), want - self.due(low).sum(1)
-        after = self.due(high) - out  # tokens due at the same moment: in the order of the queues
-        return out + np.clip(lacking[:, None] - (np.cumsum(after, 1) - after), 0, after)
+        out = self.due(low)
+        after = self.due(high) - out  # tokens due at the same moment: in the order of the lanes
+        lacking = (want - out @ self.size)[row]
+        kind, place = self.kind[lanes], self.place[lanes]
+        earlier = [(np.cumsum(x * self.size, 1) - x * self.size)[row, kind] for x in (out, after)]
+        out, after = out[row, kind], after[row, kind]
+        room = lacking - earlier[1]
+        own = out + np.clip(room - place * after, 0, after)
+        ahead = earlier[0] + place * out + np.minimum(lacking, earlier[1]) + np.clip(room, 0, place * after)
+        return own, ahead
 
 
 def pack(
@@ -154,36 +183,27 @@ def pack(
     scratch = Scratch(docs.sparkSession, "packing")
     tokens = scratch.keep(tokenize(docs, tokenizer, doc_id, text, source))
     sizes = tokens.groupBy("part", "queue").agg(F.sum("n").alias("n"))
-    largest = tokens.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue").limit(QUEUES).collect()
-    named = {r["queue"]: r["n"] for r in largest}
-    whole = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    wanted = dict(targets or {})
+    named = {r["queue"]: r["n"] for r in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    wanted = {_NULL if q is None else q: share for q, share in (targets or {}).items()}
     names = sorted(named)
     totals = [named[q] for q in names]
-    if rest := whole - sum(totals):
-        names, totals = [*names, _REST], [*totals, rest]
     least = 1e-9 * (sum(wanted.values()) or 1.0)
     schedule = Schedule(totals, [wanted.get(q) or least for q in names] if targets else [float(max(t, 1)) for t in totals], window)
 
-    own = F.when(F.col("queue").isin(list(named)), F.col("queue")).otherwise(F.lit(_REST)) if rest else F.col("queue")
-    first = (
-        sizes.withColumn("lane", own)
-        .withColumn("_base", F.sum("n").over(Window.partitionBy("lane").orderBy("part", "queue")) - F.col("n"))
-        .select("part", "queue", "lane", "_base")
-    )
+    first = sizes.withColumn("_base", F.sum("n").over(Window.partitionBy("queue").orderBy("part")) - F.col("n")).drop("n")
     placed = tokens.join(first, ["part", "queue"]).withColumn("at", F.col("_base") + F.col("before"))
-    lanes = {q: i for i, q in enumerate(names)}
+    lanes = dict(zip(names, schedule.lane.tolist(), strict=True))
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
-            rows = list(values(batch, "doc_id", "queue", "lane", "ids", "n", "at"))
+            rows = list(values(batch, "doc_id", "queue", "ids", "n", "at"))
             for a in range(0, len(rows), 256):
                 if rows[a : a + 256]:
                     yield cut(rows[a : a + 256], schedule, lanes)
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return map_batches(
-        placed.select("doc_id", "queue", "lane", "ids", "n", "at"),
+        placed.select("doc_id", "queue", "ids", "n", "at"),
         run,
         f"doc_id {kind}, queue string, start bigint, length bigint, ids binary, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint",
@@ -191,43 +211,44 @@ def pack(
 
 
 def cut(rows: list[tuple], schedule: Schedule, lanes: dict[str, int]) -> dict:
-    """The pieces of some documents, each (doc_id, queue, lane, ids, n, at)."""
-    lane = np.array([lanes[r[2]] for r in rows])
-    n, at = (np.array([r[i] for r in rows], np.int64) for i in (4, 5))
+    """The pieces of some documents, each (doc_id, queue, ids, n, at)."""
+    lane = np.array([lanes[r[1]] for r in rows])
+    n, at = (np.array([r[i] for r in rows], np.int64) for i in (3, 4))
     last_window = max(-(-schedule.all // schedule.window) - 1, 0)
 
     def window_of(position: np.ndarray) -> np.ndarray:
         """The window that holds a queue's token at each position."""
         low, high = np.zeros(len(rows), np.int64), np.full(len(rows), last_window, np.int64)
         # The share gives a guess; bracket it, then halve.
-        guess = (position / np.maximum(schedule.weights[lane], 1e-300) / schedule.window).astype(np.float64)
+        guess = (position / np.maximum(schedule.weights[schedule.kind[lane]], 1e-300) / schedule.window).astype(np.float64)
         guess = np.clip(guess, 0, last_window).astype(np.int64)
         for w, is_low in ((np.maximum(guess - 2, 0), True), (np.minimum(guess + 2, last_window), False)):
-            taken = schedule.taken(w + (0 if is_low else 1))[np.arange(len(rows)), lane]
+            taken = schedule.taken(w + (0 if is_low else 1), lane)[0]
             if is_low:
                 low = np.where(taken <= position, w, low)
             else:
                 high = np.where(taken > position, w, high)
         while (open_ := low < high).any():
             middle = (low + high + 1) // 2
-            taken = schedule.taken(middle)[np.arange(len(rows)), lane]
+            taken = schedule.taken(middle, lane)[0]
             low, high = np.where(open_ & (taken <= position), middle, low), np.where(open_ & (taken > position), middle - 1, high)
         return low
 
     first, last = window_of(at), window_of(at + n - 1)
-    needed = np.unique(np.concatenate([np.arange(a, b + 2) for a, b in zip(first, last, strict=True)]))
-    taken = schedule.taken(needed)
+    needed = [np.arange(a, b + 2) for a, b in zip(first, last, strict=True)]
+    held = np.array([len(w) for w in needed])
+    begins = np.cumsum(held) - held
+    taken, before = schedule.taken(np.concatenate(needed), np.repeat(lane, held))
     columns: dict[str, list] = {
         k: [] for k in ("doc_id", "queue", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     }
-    for i, (key, queue, _, ids, size, begin) in enumerate(rows):
-        q = lane[i]
-        w = np.arange(first[i], last[i] + 1)
-        k = np.searchsorted(needed, w)
-        start = np.maximum(taken[k, q] - begin, 0)
-        stop = np.minimum(taken[k + 1, q] - begin, size)
-        ahead = (taken[k + 1, :q] - taken[k, :q]).sum(1)
-        offset = ahead + start + begin - taken[k, q]
+    for i, (key, queue, ids, size, begin) in enumerate(rows):
+        w = needed[i][:-1]
+        k = slice(begins[i], begins[i] + held[i])
+        own, ahead = taken[k], np.diff(before[k])
+        start = np.maximum(own[:-1] - begin, 0)
+        stop = np.minimum(own[1:] - begin, size)
+        offset = ahead + start + begin - own[:-1]
         kept = np.flatnonzero(stop > start)
         for j in kept.tolist():
             piece = ids[4 * start[j] : 4 * stop[j]]

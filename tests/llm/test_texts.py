@@ -147,3 +147,21 @@ def test_packing(spark):
             at += length
         assert at == 1024 or s == max(windows)
     assert packing.pack(docs.limit(0), tokenizer_path()).count() == 0
+
+
+def test_packing_gives_every_source_its_share(spark):
+    # 600 even sources, more than there are tokens in half a window, and one named in the targets.
+    table = [(1000 * i + k, " ".join(words(30, i)), f"s{i:03d}") for i in range(600) for k in range(2)]
+    docs = spark.createDataFrame([*table, (7, " ".join(words(12, 7)), "tiny")], DOCS + ", source string").repartition(3)
+    got = packing.pack(docs, tokenizer_path()).toPandas()
+    total = got["length"].sum()
+    for queue, mine in got.groupby("queue"):
+        share = mine["length"].sum() / total * 1024
+        taken = mine.groupby("sequence_id")["length"].sum().reindex(range(got["sequence_id"].max()), fill_value=0)
+        assert (abs(taken - share) <= 2).all(), queue
+    first = packing.pack(docs, tokenizer_path(), {"tiny": 0.5, "s000": 0.5}).toPandas()
+    assert first[first["queue"] == "tiny"]["sequence_id"].max() == 0
+    for found in (got, first):
+        ends = found.sort_values(["sequence_id", "offset"])
+        at = (ends["sequence_id"] * 1024 + ends["offset"]).to_numpy()
+        assert (at == np.append(0, np.cumsum(ends["length"])[:-1])).all() and found["length"].sum() == total
