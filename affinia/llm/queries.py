@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinia.llm import bitsearch, langid, lines, lmscore, minhash, mixing, nndescent, packing, secrets, substrings
+from affinia.llm import (
+    bitsearch,
+    importance,
+    langid,
+    lines,
+    lmscore,
+    minhash,
+    mixing,
+    nndescent,
+    packing,
+    pivots,
+    secrets,
+    substrings,
+    whitening,
+)
 from affinia.llm.common import fold
 
 
@@ -85,6 +99,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_lines": op2_lines,
@@ -96,7 +123,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_lmscore": op9_lmscore,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_importance": op12_importance,
+    "op13_topk": op13_topk,
 }
 
-#: None of the ten can be expressed in SQL: trained models, iteration, tokenizers and graph search.
-ORACLE: dict[str, str] = {}
+#: The CRC of a text's UTF-8 bytes, by the table of the 256 byte values.
+CRC = """
+list_reduce([4294967295] || list_transform(range(1, 2 * octet_length(encode({0})), 2),
+    lambda i: ('0x' || substr(hex(encode({0})), i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))"""
+
+#: What SQL can express; the others are trained models, iteration, tokenizers and graph search.
+ORACLE: dict[str, str] = {
+    "op12_importance": f"""
+WITH crc_table AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries),
+texts AS (
+    SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark),
+cut AS (
+    SELECT side, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+found AS (
+    SELECT side, id, len(w) AS n_words,
+        w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS f FROM cut),
+each AS (SELECT side, id, unnest(f) AS f FROM found),
+crcs AS (SELECT f, xor({CRC.format("f")}, 4294967295) % 10000 AS b
+    FROM (SELECT DISTINCT f FROM each), crc_table),
+put AS (SELECT side, id, b FROM each JOIN crcs USING (f)),
+tally AS (
+    SELECT b, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM put GROUP BY b),
+gain AS (
+    SELECT b, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM tally)::DOUBLE + 10000)
+        / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM tally)::DOUBLE + 10000))))::BIGINT AS g FROM tally),
+weight AS (
+    SELECT id, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM put JOIN gain USING (b)
+    WHERE side = 'd' GROUP BY id),
+scored AS (
+    SELECT id AS doc_id, n_words, len(f) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln(
+            (('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM found LEFT JOIN weight USING (id) WHERE side = 'd'),
+ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op13_topk": """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM vectors a, vectors b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+        vec_id, score FROM met)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
