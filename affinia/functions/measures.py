@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 Stats = Mapping[str, Column]
 
 # Columns of ``item_stats`` a measure may ask for.
-ITEM_STATS = ("n", "total", "norm2", "peak", "mean", "ssd")
+ITEM_STATS = ("n", "total", "norm2", "peak", "low", "mean", "ssd", "spread")
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,16 @@ class Measure:
     ``row_stats`` are the item statistics ``weight`` reads, ``pair_stats`` those
     ``similarity`` reads, ``bound_stats`` those ``upper_bound`` reads. ``upper_bound``,
     if given, is never below the similarity of a pair and lets pairs that cannot reach
-    a threshold be skipped before they are aggregated.
+    a threshold be skipped before they are aggregated. With ``uses_users`` the statistics it
+    gets also hold ``users``, the number of all users.
+
+    ``lower_bound``, if given, is never above the similarity of a pair when the aggregates
+    are those of some of its users only, and null where nothing can be said; it reads
+    ``lower_stats`` besides ``pair_stats``. Such a measure must not grow when users are left
+    out wherever it is not null.
+
+    ``light``, if given, says whether rows of an item cannot reach a threshold with any partner:
+    from their number, their summed squared weights, the item's statistics and the threshold.
 
     Similarities are rounded half-up to ``digits`` before they are compared: sums of
     doubles depend on the order of their terms, so unrounded values could order near-ties
@@ -57,12 +66,18 @@ class Measure:
     uses_users: bool = False
     upper_bound: Callable[[Stats, Stats], Column] | None = None
     bound_stats: tuple[str, ...] = ()
+    lower_bound: Callable[[Pair], Column] | None = None
+    lower_stats: tuple[str, ...] = ()
+    light: Callable[[Column, Column, Stats, float], Column] | None = None
+    light_stats: tuple[str, ...] = ()
     digits: int | None = 9
 
     def rounded(self, pair: Pair) -> Column:
         """The similarity at ``digits`` decimals. Written as a floor, which unlike ``round``
         on doubles does not go through decimal text for every pair."""
-        value = self.similarity(pair)
+        return self.at_digits(self.similarity(pair))
+
+    def at_digits(self, value: Column) -> Column:
         if self.digits is None:
             return value
         scale = 10.0**self.digits
@@ -71,65 +86,138 @@ class Measure:
         return (shifted - F.pmod(shifted, F.lit(1.0))) / scale
 
     def __post_init__(self) -> None:
-        unknown = set(self.row_stats + self.pair_stats + self.bound_stats) - set(ITEM_STATS)
+        unknown = set(self.row_stats + self.pair_stats + self.bound_stats + self.lower_stats + self.light_stats) - set(ITEM_STATS)
         if unknown:
             raise ValueError(f"unknown item statistics: {sorted(unknown)}")
 
 
-def _xlogx(count: Column) -> Column:
-    """x ln x of a whole count, with 0 ln 0 = 0 and no branch."""
-    return count * F.ln(F.greatest(count, F.lit(1)).cast("double"))
-
-
 def _log_likelihood(p: Pair) -> Column:
     """Dunning's log-likelihood ratio of the 2x2 table of users, mapped into [0, 1).
 
-    The table counts users of both items, of one only, and of neither; the ratio is
-    2 (cells + all - row totals - column totals), each as a sum of x ln x.
+    The table counts users of both items, of one only, and of neither. The ratio is twice the sum of
+    observed * ln(observed / expected). Every cell is off its expectation by the same d, up to sign, and
+    the signs cancel, so each term may give up its share of d; what is left is small where the items are
+    nearly independent, instead of a difference of sums as large as all users times their logarithm.
     """
-    with_a, with_b = p.a["n"], p.b["n"]
-    cells = (
-        _xlogx(p.co) + _xlogx(with_a - p.co) + _xlogx(with_b - p.co) + _xlogx(p.users - with_a - with_b + p.co)
-    )
-    margins = _xlogx(with_a) + _xlogx(p.users - with_a) + _xlogx(with_b) + _xlogx(p.users - with_b)
-    ratio = F.greatest(F.lit(0.0), 2.0 * (cells + _xlogx(p.users) - margins))
+    users, with_a, with_b = (c.cast("double") for c in (p.users, p.a["n"], p.b["n"]))
+    both = p.co.cast("double")
+    cells = [
+        (both, with_a, with_b),
+        (with_a - both, with_a, users - with_b),
+        (with_b - both, users - with_a, with_b),
+        (users - with_a - with_b + both, users - with_a, users - with_b),
+    ]
+    off = both - with_a * with_b / users
+    ratio = F.lit(0.0)
+    for (observed, row, column), sign in zip(cells, (1, -1, -1, 1), strict=True):
+        expected, d = row * column / users, sign * off
+        term = F.when(observed > 0, observed * F.log1p(d / expected) - d).otherwise(-d)
+        ratio = ratio + F.when(expected > 0, term).otherwise(0.0)
+    ratio = F.greatest(F.lit(0.0), 2.0 * ratio)
     return 1.0 - 1.0 / (1.0 + ratio)
 
 
+def _log_likelihood_bound(a: Stats, b: Stats) -> Column:
+    """The ratio is convex in the shared users: it is largest where they are as many or as few as they can be."""
+    most = F.least(a["n"], b["n"])
+    least = F.greatest(F.lit(1), a["n"] + b["n"] - a["users"])
+    none = F.lit(0.0)
+    ends = (_log_likelihood(Pair(co, none, a, b, a["users"])) for co in (most, least))
+    return F.greatest(*ends)
+
+
+def _at_most_one(value: Column) -> Column:
+    return F.least(F.lit(1.0), value)
+
+
+def _without_negatives(similarity: Callable[[Pair], Column]) -> Callable[[Pair], Column]:
+    """A bound that grows with the dot product; users left out can only add to it if no preference is negative."""
+    return lambda p: F.when((p.a["low"] >= 0) & (p.b["low"] >= 0), similarity(p))
+
+
+def _largest_dot(a: Stats, b: Stats) -> Column:
+    by_peaks = F.least(a["n"], b["n"]) * a["peak"] * b["peak"]
+    return F.least(by_peaks, F.sqrt(a["norm2"]) * F.sqrt(b["norm2"]))
+
+
+def _euclidean(p: Pair) -> Column:
+    return 1.0 / (1.0 + F.sqrt(F.greatest(F.lit(0.0), p.a["norm2"] - 2 * p.dot + p.b["norm2"])))
+
+
+# Sums of doubles are compared with a margin.
+_MARGIN = 1e-9
+
+
+def _shared(p: Pair) -> Column:
+    return p.co.cast("double")
+
+
+def _tanimoto(p: Pair) -> Column:
+    return p.co / (p.a["n"] + p.b["n"] - p.co)
+
+
+def _city_block(p: Pair) -> Column:
+    return 1.0 / (1.0 + p.a["n"] + p.b["n"] - 2 * p.co)
+
+
+def _cosine(p: Pair) -> Column:
+    return F.try_divide(p.dot, F.sqrt(p.a["norm2"]) * F.sqrt(p.b["norm2"]))
+
+
 COOCCURRENCE = Measure(
     "cooccurrence",
-    lambda p: p.co.cast("double"),
+    _shared,
     uses_dot=False,
     digits=None,
-    upper_bound=lambda a, b: F.least(a["n"], b["n"]),
+    upper_bound=lambda a, b: F.least(a["n"], b["n"]).cast("double"),
     bound_stats=("n",),
+    lower_bound=_shared,
+    light=lambda count, square, stats, threshold: count < threshold,
 )
 TANIMOTO = Measure(
     "tanimoto",
-    lambda p: p.co / (p.a["n"] + p.b["n"] - p.co),
+    _tanimoto,
     pair_stats=("n",),
     uses_dot=False,
     upper_bound=lambda a, b: F.least(a["n"], b["n"]) / F.greatest(a["n"], b["n"]),
     bound_stats=("n",),
+    lower_bound=_tanimoto,
+    # Shared users are at least threshold times those of the larger item.
+    light=lambda count, square, stats, threshold: count < (threshold - _MARGIN) * stats["n"],
+    light_stats=("n",),
+)
+LOGLIKELIHOOD = Measure(
+    "loglikelihood",
+    _log_likelihood,
+    pair_stats=("n",),
+    uses_dot=False,
+    uses_users=True,
+    upper_bound=_log_likelihood_bound,
+    bound_stats=("n",),
 )
-LOGLIKELIHOOD = Measure("loglikelihood", _log_likelihood, pair_stats=("n",), uses_dot=False, uses_users=True)
 CITY_BLOCK = Measure(
     "city_block",
-    lambda p: 1.0 / (1.0 + p.a["n"] + p.b["n"] - 2 * p.co),
+    _city_block,
     pair_stats=("n",),
     uses_dot=False,
     upper_bound=lambda a, b: 1.0 / (1.0 + F.abs(a["n"] - b["n"])),
     bound_stats=("n",),
+    lower_bound=_city_block,
+    # Users of this item only are at most 1 / threshold - 1.
+    light=lambda count, square, stats, threshold: count < stats["n"] + 1 - 1 / (threshold - _MARGIN),
+    light_stats=("n",),
 )
 COSINE = Measure(
     "cosine",
-    lambda p: F.try_divide(p.dot, F.sqrt(p.a["norm2"]) * F.sqrt(p.b["norm2"])),
+    _cosine,
     pair_stats=("norm2",),
-    upper_bound=lambda a, b: F.least(a["n"], b["n"])
-    * a["peak"]
-    * b["peak"]
-    / (F.sqrt(a["norm2"]) * F.sqrt(b["norm2"])),
+    upper_bound=lambda a, b: F.try_divide(_largest_dot(a, b), F.sqrt(a["norm2"]) * F.sqrt(b["norm2"])),
     bound_stats=("n", "peak", "norm2"),
+    lower_bound=_without_negatives(_cosine),
+    lower_stats=("low",),
+    # What rows add to the dot product is at most their norm times that of the partner.
+    light=lambda count, square, stats, threshold: square < (threshold - _MARGIN) ** 2 * stats["norm2"],
+    light_stats=("norm2",),
 )
 PEARSON = Measure(
     "pearson",
@@ -137,13 +225,28 @@ PEARSON = Measure(
     weight=lambda pref, stats: pref - stats["mean"],
     row_stats=("mean",),
     pair_stats=("ssd",),
+    upper_bound=lambda a, b: _at_most_one(
+        F.try_divide(
+            F.least(a["n"], b["n"]) * a["spread"] * b["spread"], F.sqrt(a["ssd"]) * F.sqrt(b["ssd"])
+        )
+    ),
+    bound_stats=("n", "spread", "ssd"),
+    light=lambda count, square, stats, threshold: square < (threshold - _MARGIN) ** 2 * stats["ssd"],
+    light_stats=("ssd",),
 )
 EUCLIDEAN = Measure(
     "euclidean",
-    lambda p: 1.0 / (1.0 + F.sqrt(F.greatest(F.lit(0.0), p.a["norm2"] - 2 * p.dot + p.b["norm2"]))),
+    _euclidean,
     pair_stats=("norm2",),
-    upper_bound=lambda a, b: 1.0 / (1.0 + F.abs(F.sqrt(a["norm2"]) - F.sqrt(b["norm2"]))),
-    bound_stats=("norm2",),
+    upper_bound=lambda a, b: 1.0
+    / (1.0 + F.sqrt(F.greatest(F.lit(0.0), a["norm2"] - 2 * _largest_dot(a, b) + b["norm2"]))),
+    bound_stats=("n", "peak", "norm2"),
+    lower_bound=_without_negatives(_euclidean),
+    lower_stats=("low",),
+    # For any partner, the squared distance is at least the squared norm of the other rows.
+    light=lambda count, square, stats, threshold: square
+    < (1 - _MARGIN) * stats["norm2"] - (1 / (threshold - _MARGIN) - 1) ** 2,
+    light_stats=("norm2",),
 )
 
 MEASURES = {

@@ -32,15 +32,15 @@ def as_boolean(ui: DataFrame) -> DataFrame:
 
 
 def complete(prefs: DataFrame) -> DataFrame:
-    """Rows with a user, an item and a preference other than 0, which is no entry; preferences as doubles.
+    """Rows with a user, an item and a preference that is a number other than 0, which is no entry; as doubles.
 
     Joins on these columns would drop incomplete rows anyway, but each at its own place.
     Dropped here, every branch of a plan starts from the same rows and columns, and Spark
     scans and shuffles the input once for all of them.
     """
-    return prefs.where(F.col("user").isNotNull() & F.col("item").isNotNull() & (F.col("pref") != 0)).withColumn(
-        "pref", F.col("pref").cast("double")
-    )
+    pref = F.col("pref").cast("double")
+    entry = F.col("user").isNotNull() & F.col("item").isNotNull() & (F.col("pref") != 0) & ~F.isnan(pref)
+    return prefs.where(entry).withColumn("pref", pref)
 
 
 def min_prefs(ui: DataFrame, n: int) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinia.session import cut_lineage
+
 BLOCKS = "_blocks"
 
 # Window limits up to this size are applied before the shuffle by Spark
@@ -20,6 +22,16 @@ PRUNED_LIMIT = 1000
 SPREAD = 1024
 
 
+def hot_keys(df: DataFrame, key: str, rows_per_block: int) -> DataFrame | None:
+    """Keys with more than ``rows_per_block`` rows, stored: ``key, _rows``; None if there are none.
+
+    Runs a job: whether a plan needs to treat hot keys at all is known only from the data.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = cut_lineage(counts.where(F.col("_rows") > rows_per_block).where(F.col(key).isNotNull()))
+    return None if hot.isEmpty() else hot
+
+
 def with_blocks(
     df: DataFrame, key: str, counted: DataFrame, count_column: str, rows_per_block: int
 ) -> DataFrame:
@@ -72,7 +84,7 @@ def pairs_within(
     key: str,
     item: str,
     carry: list[str],
-    counted: DataFrame,
+    counted: DataFrame | None,
     count_column: str,
     rows_per_block: int,
     keep: Column | None = None,
@@ -85,9 +97,18 @@ def pairs_within(
     The items of a hot key fall into B blocks and the pairs into B(B+1)/2 cells, one
     per unordered pair of blocks; a row is sent to the B cells of its block. Cells are
     the join key, so the work of one key is spread over many tasks and no task sees
-    more than two blocks of it. With B = 1 this is the plain self-join. ``keep`` is an
+    more than two blocks of it. With B = 1 this is the plain self-join, and so it is for
+    all keys with ``counted=None``, which states that none is hot. ``keep`` is an
     optional filter on the pair columns, applied inside the join.
     """
+    if counted is None:
+        a, b = (
+            df.select(key, F.col(item).alias(f"item{x}"), *[F.col(c).alias(f"{c}{x}") for c in carry])
+            for x in ("_a", "_b")
+        )
+        met = a.join(b, key).where(F.col("item_a") < F.col("item_b"))
+        met = met if keep is None else met.where(keep)
+        return met.select("item_a", "item_b", *[f"{c}{s}" for c in carry for s in ("_a", "_b")])
     cells = (
         with_blocks(df, key, counted, count_column, rows_per_block)
         .withColumn("_block", block_of(item))
