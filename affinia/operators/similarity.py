@@ -24,6 +24,10 @@ CLASSES = 8
 # The prefix plan is taken where it pairs at most this share of the plain plan's pairs.
 PREFIX_SHARE = 0.25
 
+# The pruned plan, which reads its input several times, is taken where heavy users make at least this many
+# times the pairs of all others.
+HEAVY_FACTOR = 4.0
+
 
 def item_stats(prefs: DataFrame) -> DataFrame:
     """Per item: non-zero count, sum, squared norm, largest magnitude, smallest value, mean, the sum of
@@ -107,17 +111,19 @@ def similar_pairs(
 
     With a threshold, ``plan="prefix"`` finds candidates in the rows of rare users only (see
     ``prefix_candidates``) and sums up just these, ``plan="pairs"`` sums up all pairs whose
-    bound reaches the threshold, and ``"auto"`` counts what each would pair. All plans give
-    the same rows.
+    bound reaches the threshold. ``plan="pruned"`` always prunes for ``k``, and ``"auto"``
+    counts what each plan would pair. All plans give the same rows.
 
     The statistics a measure needs travel with the rows into the pair aggregate, so pairs,
     the largest intermediate by far, are shuffled once and joined to nothing.
     """
-    if plan not in ("auto", "pairs", "prefix"):
-        raise ValueError(f"plan must be auto, pairs or prefix, not {plan!r}")
+    if plan not in ("auto", "pairs", "prefix", "pruned"):
+        raise ValueError(f"plan must be auto, pairs, prefix or pruned, not {plan!r}")
     m = measure_named(measure)
     prefs = sample_prefs(complete(prefs), max_prefs, seed)
     floor = threshold if threshold is not None and threshold > 0 else None
+    if plan == "pruned" and (k is None or m.lower_bound is None):
+        raise ValueError("the pruned plan needs k and a measure that grows with the shared users")
     if plan == "prefix" and (floor is None or m.light is None):
         raise ValueError("the prefix plan needs a positive threshold and a measure that bounds rows")
     bound = m.upper_bound if floor is not None else None
@@ -128,17 +134,17 @@ def similar_pairs(
     keep = bound(_of("_a"), _of("_b")) >= threshold - 10.0 ** -(9 if m.digits is None else m.digits) if bound else None
     by = sorted(m.pair_stats)
     totals, counted = None, prefs
-    if floor is not None and m.light is not None and plan != "pairs":
+    if floor is not None and m.light is not None and plan in ("auto", "prefix"):
         rows = _weighted(prefs, m, carried | set(m.light_stats))
         prefix = prefix_rows(rows, m, floor)
         if plan == "prefix" or _prefix_pays(prefix, prefs):
             totals = verified_sums(rows, prefix_candidates(prefix, prefs, keep, carried, rows_per_block), m, by)
-    if totals is None and k is not None and m.lower_bound is not None:
-        hot = hot_keys(prefs, "user", rows_per_block)
-        if hot is None:
+    if totals is None and plan != "pairs" and k is not None and m.lower_bound is not None:
+        by_heavy, by_others = pair_counts(prefs, rows_per_block)
+        if by_heavy == 0:
             counted = None
-        else:
-            totals = pruned_sums(prefs, m, k, hot, rows_per_block)
+        elif plan == "pruned" or by_heavy >= HEAVY_FACTOR * by_others:
+            totals = pruned_sums(prefs, m, k, hot_keys(prefs, "user", rows_per_block), rows_per_block)
     if totals is None:
         rows = _weighted(prefs, m, carried)
         carry = ["weight", *sorted(carried)] if m.uses_dot else sorted(carried)
@@ -148,6 +154,14 @@ def similar_pairs(
     return kept.where(F.col("sim") >= threshold) if threshold is not None else kept
 
 
+def pair_counts(prefs: DataFrame, rows_per_block: int) -> tuple[float, float]:
+    """Pairs that users with more than ``rows_per_block`` rows make, and those of all others."""
+    sizes = prefs.groupBy("user").agg(F.count("pref").cast("double").alias("_rows"))
+    pairs, heavy = F.col("_rows") * (F.col("_rows") - 1) / 2, F.col("_rows") > rows_per_block
+    sums = [F.coalesce(F.sum(F.when(c, pairs)), F.lit(0.0)) for c in (heavy, ~heavy)]
+    return tuple(sizes.agg(*sums).first())
+
+
 def seed_pairs(heavy: DataFrame, carry: list[str], k: int, rows_per_block: int) -> DataFrame:
     """A number of pairs in proportion to the rows of heavy users, chosen so that every item has about ``k`` good ones.
 
@@ -225,7 +239,7 @@ def pruned_pairs(prefs: DataFrame, m: Measure, k: int, hot: DataFrame, rows_per_
     """
     stats = sorted(set(m.pair_stats) | set(m.lower_stats) | {"n"})
     weighted = cut_lineage(_weighted(prefs, m, set(stats)))
-    named = F.broadcast(hot.select("user"))
+    named = hot.select("user")
     square = F.sum(F.col("weight") * F.col("weight")).alias("heavy_square")
     share = weighted.join(named, "user", "left_semi").groupBy("item").agg(F.count("user").alias("heavy_n"), square)
     rows = weighted.join(share, "item", "left").fillna(0, ["heavy_n", "heavy_square"])

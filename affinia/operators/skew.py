@@ -22,14 +22,10 @@ PRUNED_LIMIT = 1000
 SPREAD = 1024
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_block: int) -> DataFrame | None:
-    """Keys with more than ``rows_per_block`` rows, stored: ``key, _rows``; None if there are none.
-
-    Runs a job: whether a plan needs to treat hot keys at all is known only from the data.
-    """
+def hot_keys(df: DataFrame, key: str, rows_per_block: int) -> DataFrame:
+    """Keys with more than ``rows_per_block`` rows, stored: ``key, _rows``; at most rows / rows_per_block of them."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = cut_lineage(counts.where(F.col("_rows") > rows_per_block).where(F.col(key).isNotNull()))
-    return None if hot.isEmpty() else hot
+    return cut_lineage(counts.where(F.col("_rows") > rows_per_block).where(F.col(key).isNotNull()))
 
 
 def with_blocks(

@@ -41,7 +41,7 @@ def prefs(spark):
 def test_pruned_is_unpruned(spark, measure, k, negative):
     prefs = spark.createDataFrame(table(11 + k, negative=bool(negative)), SHAPE).repartition(3)
     every = rows(similarity.item_similarity(prefs, measure, k, rows_per_block=10_000), "item", "rank", "other", "sim")
-    pruned = similarity.item_similarity(prefs, measure, k, rows_per_block=8)
+    pruned = similarity.item_similarity(prefs, measure, k, rows_per_block=8, plan="pruned")
     assert rows(pruned, "item", "rank", "other", "sim") == every
 
 
@@ -53,7 +53,7 @@ def test_a_heavy_user_makes_few_pairs(spark):
     every = 400 * 399 // 2
     assert parts.made.count() + parts.opened.count() < every / 10
     want = rows(similarity.item_similarity(prefs, "tanimoto", 5, rows_per_block=10_000), "item", "rank", "other", "sim")
-    assert rows(similarity.item_similarity(prefs, "tanimoto", 5, rows_per_block=50), "item", "rank", "other", "sim") == want
+    assert rows(similarity.item_similarity(prefs, "tanimoto", 5, rows_per_block=50, plan="pruned"), "item", "rank", "other", "sim") == want
 
 
 @pytest.mark.parametrize(
@@ -87,11 +87,19 @@ def test_prefix_pairs_fewer_rows_of_even_items(spark):
     assert rows(got, "item_a", "item_b") == rows(want, "item_a", "item_b") != []
 
 
+def test_pair_counts(spark):
+    prefs = spark.createDataFrame([(u, i, 1.0) for u, n in ((1, 10), (2, 3), (3, 1)) for i in range(n)], SHAPE)
+    assert similarity.pair_counts(prefs, 5) == (45.0, 3.0)
+    assert similarity.pair_counts(prefs.limit(0), 5) == (0.0, 0.0)
+
+
 def test_plans_need_what_they_use(prefs):
     with pytest.raises(ValueError, match="positive threshold"):
         similarity.similar_pairs(prefs, "tanimoto", plan="prefix")
     with pytest.raises(ValueError, match="bounds rows"):
         similarity.similar_pairs(prefs, "loglikelihood", 0.5, plan="prefix")
+    with pytest.raises(ValueError, match="needs k"):
+        similarity.similar_pairs(prefs, "pearson", k=3, plan="pruned")
     with pytest.raises(ValueError, match="plan must be"):
         similarity.similar_pairs(prefs, "tanimoto", 0.5, plan="fast")
 
