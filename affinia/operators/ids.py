@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinia.operators.skew import POSITION_BITS
 from affinia.session import cut_lineage
 
-# monotonically_increasing_id keeps the row position in its low 33 bits.
-_POSITION_BITS = 33
-
 
 def id_dictionary(df: DataFrame, column: str) -> DataFrame:
     """Distinct ids with a dense 1-based index in key order: ``id, idx``.
@@ -30,8 +28,8 @@ def id_dictionary(df: DataFrame, column: str) -> DataFrame:
     )
     placed = cut_lineage(placed).select(
         "id",
-        F.shiftright("_position", _POSITION_BITS).alias("_part"),
-        F.col("_position").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_offset"),
+        F.shiftright("_position", POSITION_BITS).alias("_part"),
+        F.col("_position").bitwiseAND(F.lit((1 << POSITION_BITS) - 1)).alias("_offset"),
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

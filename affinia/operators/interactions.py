@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.skew import BLOCKS, block_of, top_per_group, with_blocks
+from affinia.operators.skew import rank_within, top_per_group
 
 ROWS_PER_BLOCK = 100_000
 
@@ -88,6 +88,22 @@ def rating_matrix(
     return min_prefs(complete(unique.select("user", "item", "pref")).where(F.col("pref") != 0), min_prefs_per_user)
 
 
+def ranked_rows(
+    df: DataFrame,
+    user: str = "user",
+    entry: Column | str = "item",
+    order: Sequence[Column | str] = (),
+    name: str = "item",
+    rows_per_block: int = ROWS_PER_BLOCK,
+) -> DataFrame:
+    """Entries of each user with their exact rank: ``user, rank, <name>``, in ``order`` and then by entry."""
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    value = F.col(entry) if isinstance(entry, str) else entry
+    rows = df.select(user, F.struct(*[k.alias(f"_{i}") for i, k in enumerate(keys)], value.alias("_entry")).alias("_row"))
+    ranked = rank_within(rows, [user], [F.col("_row")], rows_per_block)
+    return ranked.select(user, "rank", F.col("_row._entry").alias(name))
+
+
 def item_lists(
     df: DataFrame,
     user: str = "user",
@@ -95,24 +111,22 @@ def item_lists(
     order: Sequence[Column | str] = (),
     max_list: int = ROWS_PER_BLOCK,
     name: str = "items",
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Entries of each user as sorted lists: ``user, part, <name>``.
+    """``ranked_rows`` as lists: ``user, part, <name>``.
 
-    A user with at most ``max_list`` rows has one list, part 0. A larger user has
-    several, filled by the hash of the entry, so no list grows without bound; the
-    union of the parts is the whole list.
+    Part p holds ranks ``p * max_list + 1`` to ``(p + 1) * max_list``, for a user of any size: the parts
+    in order are the user's whole ordered list.
     """
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    value = F.col(entry) if isinstance(entry, str) else entry
-    rows = df.select(user, F.struct(*[k.alias(f"_{i}") for i, k in enumerate(keys)], value.alias("_entry")).alias("_row"))
-    split = with_blocks(rows, user, rows, "_row", max_list).withColumn("part", block_of("_row")).drop(BLOCKS)
+    ranked = ranked_rows(df, user, entry, order, "_entry", rows_per_block)
+    placed = ranked.withColumn("part", F.floor((F.col("rank") - 1) / max_list).cast("int"))
     return (
-        split.groupBy(user, "part")
-        .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+        placed.groupBy(user, "part")
+        .agg(F.sort_array(F.collect_list(F.struct("rank", "_entry"))).alias("_rows"))
         .select(user, "part", F.col("_rows._entry").alias(name))
     )
 
 
 def collect_items(ui: DataFrame, max_list: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Items of each user as sorted lists of bounded length."""
+    """Items of each user as sorted lists of at most ``max_list``, the parts in order."""
     return item_lists(ui, max_list=max_list)

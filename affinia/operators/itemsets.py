@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,7 @@ def basket_rows(ui: DataFrame, basket: str = "user", item: str = "item") -> Data
 def baskets(ui: DataFrame, basket: str = "user", item: str = "item", max_list: int = MAX_LIST) -> DataFrame:
     """The distinct items of each basket, sorted: ``basket, part, items``.
 
-    A basket of at most ``max_list`` items is one list, part 0; a larger one comes in
-    several parts. The operators below work on ``basket_rows`` and build no such lists.
+    Part p holds the items from place ``p * max_list + 1`` on. The operators below work on ``basket_rows`` and build no such lists.
     """
     return item_lists(basket_rows(ui, basket, item), "basket", "item", max_list=max_list)
 
@@ -57,35 +57,73 @@ def frequent_pairs(rows: DataFrame, min_support: int, rows_per_block: int = ROWS
     )
 
 
+def _candidates(sets: DataFrame, size: int, rows_per_block: int) -> DataFrame:
+    """Sets of ``size + 1`` items all of whose subsets of ``size`` are in ``sets``: ``items, left, right``.
+
+    Two sets that differ in their last item only are joined; ``left`` and ``right`` are these two. The other
+    subsets are looked up in ``sets``.
+    """
+    stems = sets.select(
+        F.slice("items", 1, size - 1).alias("stem"), F.get("items", F.lit(size - 1)).alias("last"), "items"
+    )
+    pairs = pairs_within(stems, "stem", "last", ["items"], stems, "last", rows_per_block)
+    joined = pairs.select(
+        F.concat("items_a", F.array("item_b")).alias("items"),
+        F.col("items_a").alias("left"),
+        F.col("items_b").alias("right"),
+    )
+    without = F.transform(F.sequence(F.lit(0), F.lit(size - 2)), lambda i: F.filter("items", lambda _, j: j != i))
+    found = joined.withColumn("_subset", F.explode(without)).join(sets.select(F.col("items").alias("_subset")), "_subset")
+    return (
+        found.groupBy("items", "left", "right")
+        .agg(F.count(F.lit(1)).alias("_found"))
+        .where(F.col("_found") == size - 1)
+        .drop("_found")
+    )
+
+
+def _holding(held: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``basket, items`` for every candidate and basket that holds both of its parts.
+
+    The second join is on basket and part, so the sets of a large basket meet in many tasks.
+    """
+    left = held.select("basket", F.col("items").alias("left"))
+    right = held.select("basket", F.col("items").alias("right"))
+    return left.join(candidates, "left").select("basket", "right", "items").join(right, ["basket", "right"]).drop("right")
+
+
 def frequent_itemsets(
     rows: DataFrame, min_support: int = 100, max_len: int | None = None, rows_per_block: int = ROWS_PER_BLOCK
 ) -> DataFrame:
     """Itemsets in at least ``min_support`` baskets: ``items`` (sorted array), ``freq``.
 
-    ``rows`` comes from ``basket_rows``. Sizes up to 2 are counted by joins; larger or
-    unbounded sizes use FP-growth on the frequent items of each basket. That runs jobs
-    when called and writes the itemsets out, as FP-growth would start over on every read.
+    ``rows`` comes from ``basket_rows``. Level by level: the frequent sets of one size are joined to candidates of
+    the next, candidates with an infrequent subset are dropped, and the baskets that hold a candidate are found by
+    joining those that hold its two parts. Sets, candidates and the (basket, set) rows are tables, whatever their
+    number; the driver sees only how many there are. Sizes beyond 2 run jobs when called.
     """
-    if max_len is not None and max_len <= 2:
-        single = frequent_items(rows, min_support).select(F.array("item").alias("items"), "freq")
-        if max_len == 1:
-            return single
-        pairs = frequent_pairs(rows, min_support, rows_per_block)
-        return single.unionByName(pairs.select(F.array("item_a", "item_b").alias("items"), "freq"))
-    kept = rows.join(frequent_items(rows, min_support), "item", "left_semi")
-    # A list is no longer than the number of frequent items, at most total rows / min_support.
-    lists = cut_lineage(kept.groupBy("basket").agg(F.collect_set("item").alias("items")).select("items"))
-    count = lists.count()
-    if count == 0:
-        return lists.select("items", F.lit(0).cast("bigint").alias("freq"))
-    # FP-growth takes a fraction and rounds the count up; half a basket less is exact.
-    model = FPGrowth(
-        itemsCol="items",
-        minSupport=max(0.0, (min_support - 0.5) / count),
-        numPartitions=int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-    ).fit(lists)
-    sets = cut_lineage(model.freqItemsets.select(F.sort_array("items").alias("items"), "freq"))
-    return sets if max_len is None else sets.where(F.size("items") <= max_len)
+    single = frequent_items(rows, min_support)
+    levels = [single.select(F.array("item").alias("items"), "freq")]
+    if max_len == 1:
+        return levels[0]
+    pairs = frequent_pairs(rows, min_support, rows_per_block)
+    if max_len == 2:
+        return levels[0].unionByName(pairs.select(F.array("item_a", "item_b").alias("items"), "freq"))
+    pairs = cut_lineage(pairs)
+    levels = [cut_lineage(levels[0]), pairs.select(F.array("item_a", "item_b").alias("items"), "freq")]
+    parts = [F.array(c).alias(n) for c, n in (("item_a", "left"), ("item_b", "right"))]
+    kept = rows.join(single, "item", "left_semi").select("basket", F.array("item").alias("items"))
+    held = cut_lineage(_holding(kept, pairs.select(F.array("item_a", "item_b").alias("items"), *parts)))
+    size = 2
+    # A set of one more item needs all of its size + 1 subsets.
+    while (max_len is None or size < max_len) and levels[-1].count() > size:
+        candidates = cut_lineage(_candidates(levels[-1], size, rows_per_block))
+        held = cut_lineage(_holding(held, candidates))
+        sets = held.groupBy("items").agg(F.count("basket").alias("freq")).where(F.col("freq") >= min_support)
+        levels.append(cut_lineage(sets))
+        held = held.join(levels[-1].select("items"), "items", "left_semi")
+        size += 1
+    return reduce(DataFrame.unionByName, levels)
 
 
 def associated_items(pairs: DataFrame, k: int = 50) -> DataFrame:

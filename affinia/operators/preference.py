@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.operators.interactions import ROWS_PER_BLOCK, item_lists
+from affinia.operators.interactions import ROWS_PER_BLOCK, item_lists, ranked_rows
 
 SCALE = 5.0
 
@@ -105,8 +105,14 @@ def preference_scores(merged: DataFrame, criteria: Sequence[str]) -> DataFrame:
     return merged.select("user", "item", (SCALE * sum(terms[1:], terms[0])).alias("score"))
 
 
+def preference_ranks(scores: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Scored items of each user with their rank, best first: ``user, rank, item, score``."""
+    ranked = ranked_rows(scores, "user", F.struct("item", "score"), [-F.col("score"), "item"], "_pref", rows_per_block)
+    return ranked.select("user", "rank", "_pref.item", "_pref.score")
+
+
 def preference_lists(scores: DataFrame, max_list: int = ROWS_PER_BLOCK) -> DataFrame:
     """Scored items of each user, best first: ``user, part, prefs`` with structs of item
-    and score; lists longer than ``max_list`` come in several parts."""
+    and score. Part p holds the ranks from ``p * max_list + 1`` on, so the parts in order are the list."""
     entry = F.struct("item", "score")
     return item_lists(scores, "user", entry, [-F.col("score"), "item"], max_list, "prefs")

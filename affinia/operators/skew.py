@@ -18,8 +18,11 @@ BLOCKS = "_blocks"
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_LIMIT = 1000
 
-# Slices of a group for larger limits.
-SPREAD = 1024
+# Rows of a group that one task may rank.
+RANK_BLOCK = 100_000
+
+# monotonically_increasing_id keeps the row position in its low 33 bits.
+POSITION_BITS = 33
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_block: int) -> DataFrame:
@@ -146,23 +149,54 @@ def pairs_within(
     )
 
 
-def top_per_group(df: DataFrame, group: list[str], order: list[Column], limit: int, rank: str = "rank") -> DataFrame:
+def rank_within(
+    df: DataFrame, group: list[str], order: list[Column], rows_per_block: int = RANK_BLOCK, rank: str = "rank"
+) -> DataFrame:
+    """Exact rank (from 1) of each row within its group, for groups of any size.
+
+    Groups of at most ``rows_per_block`` rows are ranked by a window. The rows of larger ones are
+    range-partitioned by group and order, sorted where they lie and stored; a row's rank is its place in its
+    partition, plus the group's rows in the partitions before. Only those counts, one per group and partition,
+    are windowed. Both ways give the same ranks; rows equal in ``order`` are ranked in any order.
+    """
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_block)
+    hot = cut_lineage(counts.select(*[F.col(g).alias(f"_hot_{g}") for g in group]))
+    window = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    if hot.isEmpty():
+        return df.withColumn(rank, window)
+    same = [df[g].eqNullSafe(hot[f"_hot_{g}"]) for g in group]
+    ranked = df.join(hot, same, "left_anti").withColumn(rank, window)
+    by = [*[F.col(g) for g in group], *order]
+    heavy = df.join(hot, same, "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    placed = heavy.repartitionByRange(*by, "_tie").sortWithinPartitions(*by, "_tie").drop("_tie")
+    placed = cut_lineage(placed.withColumn("_position", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_position", POSITION_BITS))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_position").alias("_first"))
+    parts = parts.select(
+        *[F.col(g).alias(f"_hot_{g}") for g in group], F.col("_part").alias("_hot_part"), "_first",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    )
+    same = [placed[g].eqNullSafe(parts[f"_hot_{g}"]) for g in group]
+    met = placed.join(parts, [*same, placed["_part"] == parts["_hot_part"]])
+    place = (F.col("_position") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
+    return ranked.unionByName(met.select(*df.columns, place))
+
+
+def top_per_group(
+    df: DataFrame, group: list[str], order: list[Column], limit: int, rank: str = "rank", rows_per_block: int = RANK_BLOCK
+) -> DataFrame:
     """First ``limit`` rows of each group; ``order`` must be a full order.
 
     Up to ``PRUNED_LIMIT`` rows Spark keeps only the best rows of each group in every
     map task, so a hot group shrinks before it is shuffled. Beyond that it does not, so
-    each group is first cut to ``limit`` in ``SPREAD`` slices by row hash.
+    hot groups are ranked in ranges (see ``rank_within``), and no task sees more of one
+    than its range or ``rows_per_block`` rows.
     """
-    rows = df
     if limit > PRUNED_LIMIT:
-        slices = Window.partitionBy(*group, "_slice").orderBy(*order)
-        rows = (
-            df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
-            .withColumn(rank, F.row_number().over(slices))
-            .where(F.col(rank) <= limit)
-            .drop("_slice", rank)
-        )
-    numbered = rows.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        numbered = rank_within(df, group, order, rows_per_block, rank)
+    else:
+        numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered.where(F.col(rank) <= limit)
 
 

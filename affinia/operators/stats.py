@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.operators.skew import rank_within
+
 
 def histogram(df: DataFrame, column: str, digits: int) -> DataFrame:
     """Rows per value rounded half-up to ``digits`` decimals: ``bucket, n``."""
@@ -32,13 +34,9 @@ def listagg(values: Column | str, order: Column | str | None = None, separator:
 def key_lists(counts: DataFrame, max_entries: int = 1_000) -> DataFrame:
     """Statistics ``kind, key, n`` as ``key:n`` lists: ``kind, part, keys_list``.
 
-    A kind with more than ``max_entries`` keys is split by the md5 of the key into parts
-    of about that size, so a list over all items does not grow into one huge cell.
+    A page view of the rows: part p holds the keys of a kind from place ``p * max_entries + 1`` on, in key order.
     """
-    sizes = counts.groupBy("kind").agg(F.ceil(F.count("key") / max_entries).alias("_parts"))
-    digest = F.conv(F.substring(F.md5("key"), 1, 12), 16, 10).cast("bigint")
-    # One row per kind of statistic, a handful by design; joining on the kind by shuffle
-    # would gather all keys of a kind in one task.
-    placed = counts.join(F.broadcast(sizes), "kind").withColumn("part", F.pmod(digest, F.col("_parts")))
+    ranked = rank_within(counts.select("kind", "key", "n"), ["kind"], [F.col("key"), F.col("n")])
+    placed = ranked.withColumn("part", F.floor((F.col("rank") - 1) / max_entries).cast("bigint"))
     entry = F.concat_ws(":", "key", F.col("n").cast("string"))
-    return placed.groupBy("kind", "part").agg(listagg(entry, "key").alias("keys_list"))
+    return placed.groupBy("kind", "part").agg(listagg(entry, "rank").alias("keys_list"))

@@ -21,12 +21,13 @@ from affinia.operators.interactions import rating_matrix
 from affinia.operators.recommend import recommend
 from affinia.operators.similarity import item_similarity, most_similar_pairs
 from affinia.operators.stats import histogram
-from affinia.session import cut_lineage
+from affinia.session import cut_lineage, run_scratch
 from affinia.sources.results import (
     EVALUATION_CHECKLIST,
     ITEM_SIMILARITIES,
     RECOMMEND_RESULTS,
     STATISTICS_RESULTS,
+    STATISTICS_ROWS,
     evaluation_checklist,
     recommend_results,
     statistics_results,
@@ -89,33 +90,34 @@ def recommend_run(
     while computing; results carry the original ids again. The lists in ``options``
     use the original ids too.
     """
-    dictionaries = {column: id_dictionary(ui, column) for column in text_ids}
-
-    def encoded(df: DataFrame | None) -> DataFrame | None:
-        if df is None:
-            return None
-        for column in dictionaries:
-            if column in df.columns:
-                df = encode_ids(df, dictionaries[column], column)
-        return df
-
-    options = replace(
-        options, users=encoded(options.users), items=encoded(options.items), exclude=encoded(options.exclude)
-    )
-    prefs = options.matrix(encoded(ui))
-    similar = options.similarities(prefs)
-    if export_similarities:
-        similar = cut_lineage(similar)
-    recs = options.recommendations(prefs, similar)
-    items = dictionaries.get("item")
-    tables = {RECOMMEND_RESULTS: recommend_results(decode_recs(recs, dictionaries.get("user"), items), batch_id)}
-    if export_similarities:
-        pairs = most_similar_pairs(similar)
-        if items is not None:
-            # The index follows the order of the ids, so the smaller id stays first.
-            pairs = decode_ids(decode_ids(pairs, items, "item_a"), items, "item_b")
-        tables[ITEM_SIMILARITIES] = pairs
-    return write_tables(tables, base, batch_id)
+    with run_scratch(ui.sparkSession, "recommend", base is not None):
+        dictionaries = {column: id_dictionary(ui, column) for column in text_ids}
+
+        def encoded(df: DataFrame | None) -> DataFrame | None:
+            if df is None:
+                return None
+            for column in dictionaries:
+                if column in df.columns:
+                    df = encode_ids(df, dictionaries[column], column)
+            return df
+
+        options = replace(
+            options, users=encoded(options.users), items=encoded(options.items), exclude=encoded(options.exclude)
+        )
+        prefs = options.matrix(encoded(ui))
+        similar = options.similarities(prefs)
+        if export_similarities:
+            similar = cut_lineage(similar)
+        recs = options.recommendations(prefs, similar)
+        items = dictionaries.get("item")
+        tables = {RECOMMEND_RESULTS: recommend_results(decode_recs(recs, dictionaries.get("user"), items), batch_id)}
+        if export_similarities:
+            pairs = most_similar_pairs(similar)
+            if items is not None:
+                # The index follows the order of the ids, so the smaller id stays first.
+                pairs = decode_ids(decode_ids(pairs, items, "item_a"), items, "item_b")
+            tables[ITEM_SIMILARITIES] = pairs
+        return write_tables(tables, base, batch_id)
 
 
 def evaluate_run(
@@ -132,29 +134,31 @@ def evaluate_run(
     the means, F1 histogram) by table name; with ``base`` also written. The split feeds
     both sides of the measurement and the metrics feed every table; both are written once.
     """
-    unique = rating_matrix(ui, options.boolean, on_duplicate=options.on_duplicate)
-    parts = cut_lineage(train_test_split(unique, train_fraction, options.seed))
-    train = parts.where(F.col("split") == "train").drop("split")
-    test = parts.where(F.col("split") == "test")
-    options = replace(options, on_duplicate=None)
-    prefs = options.matrix(train)
-    recs = options.recommendations(prefs, options.similarities(prefs))
-    metrics = cut_lineage(ranking_metrics(hit_counts(recs, test, include_missing)))
-
-    points = precision_recall_points(metrics).select(
-        F.lit("precision_recall").alias("kind"),
-        F.format_string("%.4f:%.4f", "precision", "recall").alias("key"),
-        F.lit(None).cast("bigint").alias("n"),
-    )
-    f1 = histogram(metrics, "f1", 1).select(
-        F.lit("f1_histogram").alias("kind"), F.format_string("%.1f", "bucket").alias("key"), "n"
-    )
-    means = evaluation_means(metrics).select(
-        F.lit("precision_recall").alias("kind"),
-        F.format_string("%.5f,%.5f,%.5f", "mean_precision", "mean_recall", "mean_f1").alias("quota_mean"),
-    )
-    tables = {
-        EVALUATION_CHECKLIST: evaluation_checklist(metrics, batch_id),
-        STATISTICS_RESULTS: statistics_results(points.unionByName(f1), batch_id, means),
-    }
-    return write_tables(tables, base, batch_id)
+    with run_scratch(ui.sparkSession, "evaluate", base is not None):
+        unique = rating_matrix(ui, options.boolean, on_duplicate=options.on_duplicate)
+        parts = cut_lineage(train_test_split(unique, train_fraction, options.seed))
+        train = parts.where(F.col("split") == "train").drop("split")
+        test = parts.where(F.col("split") == "test")
+        options = replace(options, on_duplicate=None)
+        prefs = options.matrix(train)
+        recs = options.recommendations(prefs, options.similarities(prefs))
+        metrics = cut_lineage(ranking_metrics(hit_counts(recs, test, include_missing)))
+
+        points = precision_recall_points(metrics).select(
+            F.lit("precision_recall").alias("kind"),
+            F.format_string("%.4f:%.4f", "precision", "recall").alias("key"),
+            F.lit(None).cast("bigint").alias("n"),
+        )
+        f1 = histogram(metrics, "f1", 1).select(
+            F.lit("f1_histogram").alias("kind"), F.format_string("%.1f", "bucket").alias("key"), "n"
+        )
+        means = evaluation_means(metrics).select(
+            F.lit("precision_recall").alias("kind"),
+            F.format_string("%.5f,%.5f,%.5f", "mean_precision", "mean_recall", "mean_f1").alias("quota_mean"),
+        )
+        tables = {
+            EVALUATION_CHECKLIST: evaluation_checklist(metrics, batch_id),
+            STATISTICS_RESULTS: statistics_results(points.unionByName(f1), batch_id, means),
+            STATISTICS_ROWS: points.unionByName(f1),
+        }
+        return write_tables(tables, base, batch_id)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,17 +55,48 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def run_scratch(spark: SparkSession, name: str, remove: bool) -> Iterator[str]:
+    """One folder for all scratch tables made inside; with ``remove`` it is deleted at the end.
+
+    For runs whose results are stored elsewhere by then. Without ``remove`` the tables stay, as the
+    results may still read them; the folder is then the caller's to expire. A run inside a run
+    uses the outer folder.
+    """
+    outer = _run_folder.get()
+    if outer:
+        yield outer
+        return
+    folder = scratch_path(spark, name)
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        if remove:
+            remove_path(spark, folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the folder of the current run, or else below the shared folder."""
+    return f"{_run_folder.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` as a table written to the shared folder, for plans that read it several times.
 
     Written once and read by column, it survives lost executors and gives the planner
-    the true size. (``checkpoint()`` would run the last stage twice.) The folder is the
-    caller's to expire.
+    the true size. (``checkpoint()`` would run the last stage twice.) Inside ``run_scratch``
+    the run removes it, otherwise the folder is the caller's to expire.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")

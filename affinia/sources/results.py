@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,14 +11,16 @@ from affinia.operators.stats import key_lists
 RECOMMEND_RESULTS = "recommend_results"
 EVALUATION_CHECKLIST = "evaluation_checklist"
 STATISTICS_RESULTS = "statistics_results"
+STATISTICS_ROWS = "statistics_rows"
 ITEM_SIMILARITIES = "item_similarities"
 
-# Columns of the three fixed result tables; a batch without rows leaves no file to read them from.
+# Columns of the fixed result tables; a batch without rows leaves no file to read them from.
 SCHEMAS = {
     RECOMMEND_RESULTS: "target_id string, part int, item_list array<string>, batch_id string",
     EVALUATION_CHECKLIST: (
         "target_id string, precision double, recall double, f1 double, lift double, batch_id string"
     ),
+    STATISTICS_ROWS: "kind string, key string, n bigint, batch_id string",
     STATISTICS_RESULTS: "target_id string, part bigint, keys_list string, quota_mean string, batch_id string",
 }
 
@@ -39,10 +39,14 @@ def row_key(batch_id: str, *parts: Column | str) -> Column:
 def write_results(df: DataFrame, base: str, table: str, batch_id: str) -> str:
     """Write ``df`` as the rows of one batch of a result table; returns the table path.
 
-    Only the folder of this batch is replaced, also by no rows, so a run may be repeated.
+    Only the folder of this batch is replaced, also by no rows, so a run may be repeated. The folder is named
+    as Spark names partitions, so the id may be any text but the empty one, which Spark reads back as null.
     """
+    if not batch_id:
+        raise ValueError("a batch needs an id")
     path = f"{base.rstrip('/')}/{table}"
-    folder = quote(f"batch_id={batch_id}", safe="= ")
+    utils = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = utils.getPartitionPathString("batch_id", batch_id)
     df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/{folder}")
     return path
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from affinia.operators.interactions import (
     collect_items,
+    item_lists,
     dedupe,
     min_prefs,
     one_pref_per_item,
@@ -78,12 +79,33 @@ def test_sample_keeps_m_per_user(hot, m):
 
 
 @pytest.mark.parametrize("limit", [2, 9, 100])
-def test_large_limits_in_slices_are_the_plain_top(hot, monkeypatch, limit):
+def test_large_limits_in_ranges_are_the_plain_top(hot, monkeypatch, limit):
     order = [F.desc("pref"), F.col("item")]
     plain = rows(top_per_group(hot, ["user"], order, limit), "user", "item", "rank")
     monkeypatch.setattr(skew, "PRUNED_LIMIT", 1)
-    monkeypatch.setattr(skew, "SPREAD", 5)
-    assert rows(top_per_group(hot, ["user"], order, limit), "user", "item", "rank") == plain
+    for rows_per_block in (7, 1000):
+        got = top_per_group(hot, ["user"], order, limit, rows_per_block=rows_per_block)
+        assert rows(got, "user", "item", "rank") == plain
+
+
+def test_ranks_of_hot_groups_and_null_groups(spark):
+    table = [(None if u == 3 else u, "x" if i % 2 else None, i % 17, i) for u, n in ((1, 90), (2, 3), (3, 50)) for i in range(n)]
+    df = spark.createDataFrame(table, "user bigint, kind string, pref int, item int").repartition(5)
+    order = [F.desc("pref"), F.col("item")]
+    plain = rows(skew.rank_within(df, ["user", "kind"], order), "pref", "item", "rank")
+    assert rows(skew.rank_within(df, ["user", "kind"], order, 4), "pref", "item", "rank") == plain
+    assert skew.rank_within(df.limit(0), ["user"], order, 4).count() == 0
+
+
+def test_no_task_ranks_a_whole_hot_group(spark):
+    """A group of 40,000 rows is ranked with windows of at most its partitions' number of rows."""
+    df = spark.range(40_000).select(F.lit(1).alias("user"), F.col("id").alias("item"))
+    ranked = skew.top_per_group(df, ["user"], [F.desc("item")], 1_500, rows_per_block=1_000)
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 2  # of ordinary groups, and of counts per group and partition
+    got = ranked.collect()
+    assert sorted(r["rank"] for r in got) == list(range(1, 1_501))
+    assert all(r["item"] == 40_000 - r["rank"] for r in got)
 
 
 @pytest.mark.parametrize("rows_per_block", [2, 5, 1000])
@@ -99,18 +121,20 @@ def test_join_hot_is_the_plain_join(hot):
     assert rows(join_hot(hot, right, "item", "user", hot, "pref", 3), "user", "item", "other") == plain
 
 
+@pytest.mark.parametrize("rows_per_block", [5, 1000])
 @pytest.mark.parametrize("max_list", [4, 1000])
-def test_parts_make_the_whole_list(hot, max_list):
+def test_parts_in_order_are_the_list(hot, max_list, rows_per_block):
     want = defaultdict(list)
-    for u, i, _ in HOT:
+    for u, i, p in sorted(HOT, key=lambda r: (r[0], -r[2], r[1])):
         want[u].append(i)
-    got, sizes = defaultdict(list), []
-    for r in collect_items(hot, max_list).collect():
-        assert r["items"] == sorted(r["items"])
-        got[r.user] += r["items"]
-        sizes.append(len(r["items"]))
-    assert {u: sorted(items) for u, items in got.items()} == want
-    if max_list == 4:
-        assert max(sizes) < 30  # 60 items in 15 blocks
-    else:
-        assert len(sizes) == len(want)
+    lists = item_lists(hot, "user", "item", [-F.col("pref"), "item"], max_list, rows_per_block=rows_per_block)
+    got = defaultdict(dict)
+    for r in lists.collect():
+        got[r.user][r.part] = r["items"]
+    for u, parts in got.items():
+        assert sorted(parts) == list(range(len(parts)))
+        assert sum((parts[p] for p in range(len(parts))), []) == want[u]
+        assert all(len(parts[p]) == max_list for p in range(len(parts) - 1))
+    assert set(got) == set(want)
+    whole = {r.user: r["items"] for r in collect_items(hot).collect()}
+    assert whole == {u: sorted(items) for u, items in want.items()}

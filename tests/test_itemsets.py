@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 from itertools import combinations
+from random import Random
 
 import pytest
 from conftest import rows
@@ -78,3 +79,34 @@ def test_rules_by_hand(lines):
     assert set(got) == {(("c",), "b"), (("a", "c"), "b")}
     assert got[("c",), "b"] == pytest.approx((3, 0.5, 1.0, 18 / 12))
     assert got[("a", "c"), "b"] == pytest.approx((2, 2 / 6, 1.0, 12 / 8))
+
+
+def by_counting(table, least):
+    found = {}
+    baskets = {}
+    for b, i in table:
+        baskets.setdefault(b, set()).add(i)
+    for items in baskets.values():
+        for size in range(1, len(items) + 1):
+            for c in combinations(sorted(items), size):
+                found[c] = found.get(c, 0) + 1
+    return {c: n for c, n in found.items() if n >= least}
+
+
+@pytest.mark.parametrize(("seed", "least"), [(1, 3), (2, 5)])
+def test_levels_match_counting(spark, seed, least):
+    rng = Random(seed)
+    table = [(b, f"i{i}") for b in range(40) for i in rng.sample(range(9), rng.randint(1, 6))]
+    table += [(100, f"i{i}") for i in range(9)]  # one basket holds everything
+    table += [(200 + b, i) for b in range(6) for i in ("x", "y", "z", "w", "i0")]  # a frequent set of five
+    rows_ = basket_rows(spark.createDataFrame(table, "user bigint, item string"))
+    want = by_counting(table, least)
+    assert max(map(len, want)) == 5
+    for block in (2, 1000):
+        got = {tuple(r["items"]): r.freq for r in frequent_itemsets(rows_, least, rows_per_block=block).collect()}
+        assert got == want
+    got = {tuple(r["items"]): r.freq for r in frequent_itemsets(rows_, least, 3).collect()}
+    assert got == {c: n for c, n in want.items() if len(c) <= 3}
+    rules = association_rules(rows_, frequent_itemsets(rows_, least), 0.9).collect()
+    assert {len(r.antecedent) for r in rules} >= {2, 3, 4}
+    assert all(want[tuple(sorted([*r.antecedent, r.consequent]))] / want[tuple(r.antecedent)] >= 0.9 for r in rules)

@@ -1,24 +1,28 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from conftest import rows
 
 from affinia.operators.similarity import item_similarity, most_similar_pairs
 from affinia.plans.association import association_run
 from affinia.plans.preference import preference_run
 from affinia.plans.recommendation import RecommendOptions, evaluate_run, recommend_run
-from affinia.session import scratch_path
+from affinia.session import scratch_path, shared_dir
 from affinia.sources.results import (
     EVALUATION_CHECKLIST,
     ITEM_SIMILARITIES,
     RECOMMEND_RESULTS,
     STATISTICS_RESULTS,
+    STATISTICS_ROWS,
     read_results,
 )
 
 
 def test_association_run(spark, hot):
     tables = association_run(hot, "a01", min_support=2, k=3)
-    assert set(tables) == {RECOMMEND_RESULTS, EVALUATION_CHECKLIST, STATISTICS_RESULTS}
+    assert set(tables) == {RECOMMEND_RESULTS, EVALUATION_CHECKLIST, STATISTICS_RESULTS, STATISTICS_ROWS}
+    assert tables[STATISTICS_ROWS].columns == ["kind", "key", "n"]
     lifts = tables[EVALUATION_CHECKLIST].count()
     (statistics,) = tables[STATISTICS_RESULTS].collect()
     assert statistics.target_id == "a01_lift_histogram"
@@ -56,7 +60,9 @@ def test_preference_run(spark, hot):
     tables = preference_run(df, ["c1", "c2"], "p01", max_list=10)
     lists = tables[RECOMMEND_RESULTS].collect()
     assert sum(len(r.item_list) for r in lists) == hot.count()
-    assert len([r for r in lists if r.target_id == "p01_0"]) > 1  # the hot user comes in parts
+    hottest = sorted((r.part, r.item_list) for r in lists if r.target_id == "p01_0")
+    scores = [float(e.split(":")[1]) for _, part in hottest for e in part]
+    assert len(hottest) > 1 and scores == sorted(scores, reverse=True)  # the parts in order are the list
     assert {r.target_id for r in tables[STATISTICS_RESULTS].collect()} == {"p01_item_popularity", "p01_score_histogram"}
 
 
@@ -72,3 +78,22 @@ def test_batches_of_all_runs_share_the_tables(spark, hot):
         ("p",),
     ]
     assert read_results(spark, base, EVALUATION_CHECKLIST, "e").count() > 0
+
+
+def folders(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    return set(folder.iterdir())
+
+
+def test_a_stored_run_leaves_only_its_results(spark, hot):
+    base = scratch_path(spark, "kept")
+    before = folders(spark)
+    criteria = hot.selectExpr("user", "item", "pref AS c1")
+    text = hot.selectExpr("format_string('u%02d', user) AS user", "format_string('i%02d', item) AS item", "pref")
+    association_run(hot, "a", 2, base=base)
+    recommend_run(text, "c", RecommendOptions(boolean=True), base, ("user", "item"), export_similarities=True)
+    evaluate_run(hot, "e", RecommendOptions(boolean=True), base=base)
+    preference_run(criteria, ["c1"], "p", base)
+    assert folders(spark) - before == {Path(base)}
+    kept = preference_run(criteria, ["c1"], "p")
+    assert len(folders(spark) - before) == 2 and kept[RECOMMEND_RESULTS].count() > 0

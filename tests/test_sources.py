@@ -88,15 +88,27 @@ def test_split_folders(spark, hot):
 
 
 @pytest.mark.parametrize("max_entries", [3, 1000])
-def test_long_key_lists_come_in_parts(spark, max_entries):
+def test_key_lists_are_pages_in_key_order(spark, max_entries):
     counts = spark.range(40).select(
         F.lit("k").alias("kind"), F.format_string("%02d", "id").alias("key"), F.col("id").alias("n")
     )
-    lists = key_lists(counts, max_entries).collect()
-    entries = [e for r in lists for e in r.keys_list.split(",")]
-    assert sorted(entries) == [f"{i:02d}:{i}" for i in range(40)]
-    assert (len(lists) > 5) == (max_entries == 3)
-    assert all(r.keys_list.split(",") == sorted(r.keys_list.split(",")) for r in lists)
+    lists = sorted(key_lists(counts.repartition(3), max_entries).collect(), key=lambda r: r.part)
+    assert [r.part for r in lists] == list(range(-(-40 // max_entries)))
+    assert [e for r in lists for e in r.keys_list.split(",")] == [f"{i:02d}:{i}" for i in range(40)]
+
+
+@pytest.mark.parametrize("batch", ["é", "a b", "50%", "x/y", "k=v", "#1", "日本", "a:b"])
+def test_any_batch_id_is_read_back_and_replaced(spark, batch):
+    base = scratch_path(spark, "ids")
+    rows_of = spark.createDataFrame([("t", 0, ["i"])], "target_id string, part int, item_list array<string>")
+    for table in ("recommend_results", "other"):
+        write_results(rows_of.unionByName(rows_of), base, table, batch)
+        write_results(rows_of, base, table, batch)
+        write_results(rows_of, base, table, "plain")
+        assert rows(read_results(spark, base, table, batch), "batch_id", "target_id") == [(batch, "t")]
+        assert rows(read_results(spark, base, table), "batch_id") == sorted([(batch,), ("plain",)])
+    with pytest.raises(ValueError, match="needs an id"):
+        write_results(rows_of, base, "t", "")
 
 
 def test_sort_by_value_is_global(spark):
