@@ -134,8 +134,61 @@ list_reduce([4294967295] || list_transform(range(1, 2 * octet_length(encode({0})
     lambda i: ('0x' || substr(hex(encode({0})), i, 2))::BIGINT),
     lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))"""
 
-#: What SQL can express; the others are trained models, iteration, tokenizers and graph search.
+#: Components of ``links`` (x, y, both ways) among ``nodes`` (id).
+REACH = """
+reach(id, component) AS (
+    SELECT id, id FROM nodes UNION SELECT y, component FROM reach JOIN links ON x = id),
+parts AS (SELECT id, min(component) AS component_id FROM reach GROUP BY id),
+degrees AS (SELECT x AS id, count(*) AS n_links FROM links GROUP BY x)"""
+
+#: What SQL can express; the others are trained models, tokenizers and sums of doubles in another order.
 ORACLE: dict[str, str] = {
+    "op4_nndescent": f"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+nodes AS (SELECT vec_id AS id FROM embeddings), {REACH}
+SELECT id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, id = component_id AS kept
+FROM parts LEFT JOIN degrees USING (id)""",
+    "op6_substrings": """
+WITH cut AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+windows AS (
+    SELECT doc_id, i, w[i] AS word, CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i : i + 34], ' ') END AS run
+    FROM words),
+judged AS (
+    SELECT *, run IS NOT NULL AND count(*) OVER (PARTITION BY run) > 1 AS again FROM windows),
+covered AS (
+    SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+    FROM judged),
+left_over AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+    FROM covered GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM cut LEFT JOIN left_over USING (doc_id)""",
+    "op8_minhash": f"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
+    FROM cut),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n_x, b.n AS n_y, count(*) AS both_
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared WHERE 100 * both_ >= 80 * (n_x + n_y - both_)),
+nodes AS (SELECT doc_id AS id FROM documents), {REACH}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN parts ON doc_id = id""",
     "op12_importance": f"""
 WITH crc_table AS (
     SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8),
