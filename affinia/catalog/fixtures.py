@@ -61,6 +61,12 @@ def brand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def support(spark: SparkSession, sf_dir: str, share: int) -> int:
+    """A minimum support that follows the data: one in ``share`` baskets, at least 2."""
+    baskets = brand_rows(spark, sf_dir).where("item <> ''").select("user").distinct().count()
+    return max(2, baskets // share)
+
+
 def raw_lines(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     """Tab-separated lines, among them lines too short to use: one field only, and a
     user followed by empty fields."""

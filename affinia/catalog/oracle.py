@@ -137,12 +137,14 @@ metrics AS (
               ELSE CAST(0 AS DOUBLE) END AS f1
   FROM ratios)"""
 
-PAIRS = f"""{BRANDS},
-singles AS (SELECT item, count(*) AS freq FROM brands GROUP BY item HAVING count(*) >= 300),
+
+
+_PAIRS = f"""{BRANDS},
+singles AS (SELECT item, count(*) AS freq FROM brands GROUP BY item HAVING count(*) >= :least),
 pairs AS (
   SELECT a.item AS item_a, b.item AS item_b, count(*) AS freq
   FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
-  GROUP BY a.item, b.item HAVING count(*) >= 300),
+  GROUP BY a.item, b.item HAVING count(*) >= :least),
 total AS (SELECT count(DISTINCT basket) AS n FROM brands),
 lifts AS (
   SELECT item_a, item_b, p.freq, a.freq AS freq_a, b.freq AS freq_b,
@@ -152,13 +154,13 @@ partners AS (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY freq DESC, partner) AS rank FROM (
     SELECT item_a AS item, item_b AS partner, freq FROM pairs
     UNION ALL SELECT item_b, item_a, freq FROM pairs))"""
-TRIPLES = PAIRS + """,
+_TRIPLES = _PAIRS + """,
 triples AS (
   SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, count(*) AS freq
   FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
                 JOIN brands c ON a.basket = c.basket AND b.item < c.item
-  GROUP BY a.item, b.item, c.item HAVING count(*) >= 300)"""
-RULES = TRIPLES + """,
+  GROUP BY a.item, b.item, c.item HAVING count(*) >= :least)"""
+_RULES = _TRIPLES + """,
 implications AS (
   SELECT item_a AS antecedent, item_b AS consequent, freq FROM pairs
   UNION ALL SELECT item_b, item_a, freq FROM pairs
@@ -170,6 +172,35 @@ bodies AS (
   UNION ALL SELECT item_a || ',' || item_b, freq FROM pairs)"""
 
 
+
+def frequent(ctes: str, share: int) -> str:
+    """The CTEs with sets counted as frequent in one of ``share`` baskets and at least 2."""
+    return ctes.replace(":least", f"(SELECT greatest(2, count(DISTINCT basket) // {share}) FROM brands)")
+
+
+PAIRS, TRIPLES, RULES = (frequent(ctes, 49) for ctes in (_PAIRS, _TRIPLES, _RULES))
+QUADS = """,
+quads AS (
+  SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, count(*) AS freq
+  FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
+                JOIN brands c ON a.basket = c.basket AND b.item < c.item
+                JOIN brands d ON a.basket = d.basket AND c.item < d.item
+  GROUP BY ALL HAVING count(*) >= :least),
+fives AS (
+  SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, e.item AS item_e, count(*) AS freq
+  FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
+                JOIN brands c ON a.basket = c.basket AND b.item < c.item
+                JOIN brands d ON a.basket = d.basket AND c.item < d.item
+                JOIN brands e ON a.basket = e.basket AND d.item < e.item
+  GROUP BY ALL HAVING count(*) >= :least)"""
+SETS = """,
+sets AS (
+  SELECT 1 AS size, [item] AS items, freq FROM singles UNION ALL SELECT 2, [item_a, item_b], freq FROM pairs
+  UNION ALL SELECT 3, [item_a, item_b, item_c], freq FROM triples
+  UNION ALL SELECT 4, [item_a, item_b, item_c, item_d], freq FROM quads
+  UNION ALL SELECT 5, [item_a, item_b, item_c, item_d, item_e], freq FROM fives)"""
+BY_LEVEL = frequent(_TRIPLES + QUADS + SETS, 600)
+
 def merged_sql(second: str = "price") -> str:
     """CTEs ending in ``scores`` and ``criteria``."""
     xlx = "sum(CASE WHEN {0} > 0 THEN {0} * ln({0}) ELSE 0 END)"
@@ -194,11 +225,10 @@ scores AS (SELECT "user", item, 5 * (w1 / (1 + exp(-z1)) + w2 / (1 + exp(-z2)))
 def key_lists_sql(counts: str) -> str:
     """CTEs ending in ``lists``: kind, part, keys_list, from ``counts`` (kind, key, n)."""
     return f"""counts AS ({counts}),
-sized AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY kind) / 1000.0) AS BIGINT) AS parts FROM counts),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY kind ORDER BY key) - 1) // 1000 AS part FROM counts),
 lists AS (
-  SELECT kind, CAST('0x' || substr(md5(key), 1, 12) AS BIGINT) % parts AS part,
-         string_agg(concat_ws(':', key, CAST(n AS VARCHAR)), ',' ORDER BY key) AS keys_list
-  FROM sized GROUP BY ALL)"""
+  SELECT kind, part, string_agg(concat_ws(':', key, CAST(n AS VARCHAR)), ',' ORDER BY key) AS keys_list
+  FROM placed GROUP BY ALL)"""
 
 
 SCORE_COUNTS = """
@@ -285,6 +315,61 @@ ORACLE: dict[str, str] = {
         "SELECT item_a AS item, item_b AS other, sim FROM kept WHERE sim >= 0.05 "
         "UNION ALL SELECT item_b, item_a, sim FROM kept WHERE sim >= 0.05",
     ),
+    "similarity_prefix": _with(
+        f"{UI}, {pairs_sql('tanimoto')}",
+        "SELECT item_a AS item, item_b AS other, sim FROM kept WHERE sim >= CAST('0.08' AS DOUBLE) "
+        "UNION ALL SELECT item_b, item_a, sim FROM kept WHERE sim >= CAST('0.08' AS DOUBLE)",
+    ),
+    "similarity_pruned": _with(f"{UI}, {similar_sql('tanimoto', 20)}", SHOW_SIM),
+    "collect_items_parts": _with(
+        UI
+        + """,
+placed AS (SELECT *, (row_number() OVER (PARTITION BY "user" ORDER BY item) - 1) // 7 AS part FROM ui)""",
+        'SELECT "user", part, string_agg(CAST(item AS VARCHAR), \',\' ORDER BY item) AS items FROM placed GROUP BY ALL',
+    ),
+    "top_lines_per_flag": _with(
+        UI_DUP,
+        'SELECT flag, "user", item, price, rank FROM (SELECT *, '
+        'row_number() OVER (PARTITION BY flag ORDER BY price DESC, "user", item) AS rank '
+        'FROM (SELECT DISTINCT flag, "user", item, price FROM ui_dup)) WHERE rank <= 1200',
+    ),
+    "itemsets_by_level": _with(
+        BY_LEVEL, "SELECT CAST(size AS BIGINT) AS size, array_to_string(items, ',') AS items, freq FROM sets"
+    ),
+    "rules_by_level": _with(
+        BY_LEVEL
+        + """,
+implications AS (
+  SELECT list_filter(items, lambda x: x <> consequent) AS antecedent, consequent, freq
+  FROM (SELECT items, unnest(items) AS consequent, freq FROM sets WHERE size > 1))""",
+        "SELECT array_to_string(antecedent, ',') AS antecedent, consequent, i.freq, "
+        "i.freq / CAST(n AS DOUBLE) AS support, i.freq / CAST(b.freq AS DOUBLE) AS confidence, "
+        "CAST(i.freq * n AS DOUBLE) / CAST(b.freq * s.freq AS DOUBLE) AS lift "
+        "FROM implications i JOIN sets b ON b.items = antecedent JOIN singles s ON s.item = consequent, total "
+        "WHERE i.freq / CAST(b.freq AS DOUBLE) >= CAST('0.1' AS DOUBLE)",
+    ),
+    "basket_parts": _with(
+        BRANDS
+        + """,
+placed AS (SELECT *, (row_number() OVER (PARTITION BY basket ORDER BY item) - 1) // 2 AS part FROM brands)""",
+        "SELECT basket, part, string_agg(item, ',' ORDER BY item) AS items FROM placed GROUP BY ALL",
+    ),
+    "preference_ranks": _with(
+        merged_sql(),
+        'SELECT "user", row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank, item, '
+        "round(score, 6) AS score FROM scores",
+    ),
+    "preference_parts": _with(
+        merged_sql()
+        + """,
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) - 1) // 8 AS part FROM scores)""",
+        'SELECT "user", part, string_agg(printf(\'%d:%.6f\', item, score), \',\' ORDER BY score DESC, item) AS prefs '
+        "FROM placed GROUP BY ALL",
+    ),
+    "statistics_rows": _with(
+        f"{merged_sql()}, counts AS ({SCORE_COUNTS})", "SELECT 'b01' AS batch_id, kind, key, n FROM counts"
+    ),
     "similar_items_topk": _with(
         """ui_event AS (
   SELECT * FROM (SELECT user_id AS "user", event_type AS item, sum(value) AS pref FROM events GROUP BY ALL)
@@ -423,7 +508,7 @@ excluded AS (SELECT DISTINCT "user", item + 1 AS item FROM ui_dup WHERE flag = '
     "preference_run_tables": _with(
         f"{merged_sql()}, {key_lists_sql(SCORE_COUNTS)}",
         "SELECT 'recommend_results' AS table_name, 'b01_' || \"user\" AS target_id, CAST(0 AS BIGINT) AS part, "
-        "string_agg(CAST(item AS VARCHAR), ',' ORDER BY score DESC, item) AS value FROM scores GROUP BY \"user\" "
+        "string_agg(printf('%d:%.6f', item, score), ',' ORDER BY score DESC, item) AS value FROM scores GROUP BY \"user\" "
         "UNION ALL SELECT 'statistics_results', 'b01_' || kind, part, keys_list FROM lists",
     ),
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from affinia.catalog import fixtures as fx
 from affinia.operators import evaluate, ids, interactions, itemsets, preference, recommend, similarity, stats
+from affinia.operators.skew import top_per_group
 from affinia.plans.association import association_run
 from affinia.plans.preference import preference_run
 from affinia.plans.recommendation import RecommendOptions, evaluate_run, recommend_run
@@ -19,7 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-MIN_SUPPORT = 300
+# One in so many baskets: for pairs, and for larger sets.
+PAIR_SHARE = 49
+SET_SHARE = 600
 TRAIN = 0.6
 BATCH = "b01"
 
@@ -126,6 +129,19 @@ def collect_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("user", whole("part"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
 
 
+@query
+def collect_items_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = interactions.collect_items(fx.ui(spark, sf_dir), max_list=7)
+    return lists.select("user", whole("part"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+
+
+@query
+def top_lines_per_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.ui_dup(spark, sf_dir).select("flag", "user", "item", "price").distinct()
+    order = [F.desc("price"), F.col("user"), F.col("item")]
+    return top_per_group(rows, ["flag"], order, 1_200, rows_per_block=500).withColumn("rank", whole("rank"))
+
+
 # Similarity
 
 
@@ -192,6 +208,18 @@ def similarity_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("item", "other", "sim")
 
 
+@query
+def similarity_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = similarity.item_similarity(fx.ui(spark, sf_dir), "tanimoto", k=None, threshold=0.08, plan="prefix")
+    return rows.select("item", "other", "sim")
+
+
+@query
+def similarity_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = similarity.item_similarity(fx.ui(spark, sf_dir), "tanimoto", 20, rows_per_block=50, plan="pruned")
+    return rows.select("item", "other", "sim", whole("rank"))
+
+
 @query
 def similar_items_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefs = interactions.rating_matrix(fx.ui_event(spark, sf_dir), on_duplicate=None)
@@ -332,6 +360,10 @@ def f1_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Itemsets
 
 
+def _support(spark: SparkSession, sf_dir: str) -> int:
+    return fx.support(spark, sf_dir, PAIR_SHARE)
+
+
 @query
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = itemsets.baskets(fx.brand_rows(spark, sf_dir))
@@ -344,26 +376,46 @@ def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def frequent_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = itemsets.frequent_itemsets(_brands(spark, sf_dir), MIN_SUPPORT)
+    sets = itemsets.frequent_itemsets(_brands(spark, sf_dir), _support(spark, sf_dir))
     return sets.select(F.array_join("items", ",").alias("items"), "freq")
 
 
+@query
+def itemsets_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sets = itemsets.frequent_itemsets(_brands(spark, sf_dir), fx.support(spark, sf_dir, SET_SHARE))
+    return sets.select(F.size("items").cast("bigint").alias("size"), F.array_join("items", ",").alias("items"), "freq")
+
+
+@query
+def rules_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _brands(spark, sf_dir)
+    sets = itemsets.frequent_itemsets(rows, fx.support(spark, sf_dir, SET_SHARE))
+    rules = itemsets.association_rules(rows, sets, 0.1)
+    return rules.withColumn("antecedent", F.array_join("antecedent", ","))
+
+
+@query
+def basket_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = itemsets.baskets(fx.brand_rows(spark, sf_dir), max_list=2)
+    return lists.select("basket", whole("part"), F.array_join("items", ",").alias("items"))
+
+
 @query
 def associated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = itemsets.frequent_pairs(_brands(spark, sf_dir), MIN_SUPPORT)
+    pairs = itemsets.frequent_pairs(_brands(spark, sf_dir), _support(spark, sf_dir))
     return itemsets.associated_items(pairs, 10).select("item", "partner", "freq", whole("rank"))
 
 
 @query
 def pair_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = itemsets.pair_lift(_brands(spark, sf_dir), MIN_SUPPORT)
+    rows = itemsets.pair_lift(_brands(spark, sf_dir), _support(spark, sf_dir))
     return rows.select("item_a", "item_b", "freq", "freq_a", "freq_b", r6("lift"))
 
 
 @query
 def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _brands(spark, sf_dir)
-    rules = itemsets.association_rules(rows, itemsets.frequent_itemsets(rows, MIN_SUPPORT), 0.1)
+    rules = itemsets.association_rules(rows, itemsets.frequent_itemsets(rows, _support(spark, sf_dir)), 0.1)
     return rules.select(
         F.array_join("antecedent", ",").alias("antecedent"),
         "consequent",
@@ -376,7 +428,7 @@ def association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lift_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.histogram(itemsets.pair_lift(_brands(spark, sf_dir), MIN_SUPPORT), "lift", 1)
+    return stats.histogram(itemsets.pair_lift(_brands(spark, sf_dir), _support(spark, sf_dir)), "lift", 1)
 
 
 # Preferences
@@ -425,6 +477,19 @@ def preference_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("user", whole("part"), F.array_join(shown, ",").alias("prefs"))
 
 
+@query
+def preference_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = preference.preference_ranks(_scores(spark, sf_dir), rows_per_block=45)
+    return ranked.select("user", whole("rank"), "item", r6("score"))
+
+
+@query
+def preference_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = preference.preference_lists(_scores(spark, sf_dir), max_list=8)
+    shown = F.transform("prefs", lambda p: F.format_string("%s:%.6f", p["item"], p["score"]))
+    return lists.select("user", whole("part"), F.array_join(shown, ",").alias("prefs"))
+
+
 @query
 def item_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.item_popularity(_scores(spark, sf_dir))
@@ -457,7 +522,7 @@ def _lists() -> Column:
 @query
 def association_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "association")
-    association_run(fx.brand_rows(spark, sf_dir), BATCH, MIN_SUPPORT, k=10, base=base)
+    association_run(fx.brand_rows(spark, sf_dir), BATCH, _support(spark, sf_dir), k=10, base=base)
     return (
         _read_back(spark, base, results.RECOMMEND_RESULTS, _lists())
         .unionByName(_read_back(spark, base, results.EVALUATION_CHECKLIST, F.format_string("%.6f", "lift")))
@@ -504,7 +569,20 @@ def preference_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "preference")
     rows = fx.ui_dup(spark, sf_dir).select("user", "item", F.col("pref").alias("c1"), F.col("price").alias("c2"))
     preference_run(rows, ["c1", "c2"], BATCH, base)
-    items = F.array_join(F.transform("item_list", lambda e: F.split(e, ":")[0]), ",")
+
+    def shown(entry: Column) -> Column:
+        parts = F.split(entry, ":")
+        return F.format_string("%s:%.6f", parts[0], parts[1].cast("double"))
+
+    items = F.array_join(F.transform("item_list", shown), ",")
     return _read_back(spark, base, results.RECOMMEND_RESULTS, items).unionByName(
         _read_back(spark, base, results.STATISTICS_RESULTS, F.col("keys_list"))
     )
+
+
+@query
+def statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "statistics")
+    rows = fx.ui_dup(spark, sf_dir).select("user", "item", F.col("pref").alias("c1"), F.col("price").alias("c2"))
+    preference_run(rows, ["c1", "c2"], BATCH, base)
+    return results.read_results(spark, base, results.STATISTICS_ROWS, BATCH).select("batch_id", "kind", "key", "n")
