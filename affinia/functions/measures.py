@@ -91,29 +91,30 @@ class Measure:
             raise ValueError(f"unknown item statistics: {sorted(unknown)}")
 
 
+# Keep an empty cell's logarithm finite.
+_TINY, _NEARLY_NONE = 1e-300, -1 + 1e-15
+
+
 def _log_likelihood(p: Pair) -> Column:
     """Dunning's log-likelihood ratio of the 2x2 table of users, mapped into [0, 1).
 
     The table counts users of both items, of one only, and of neither. The ratio is twice the sum of
-    observed * ln(observed / expected). Every cell is off its expectation by the same d, up to sign, and
-    the signs cancel, so each term may give up its share of d; what is left is small where the items are
-    nearly independent, instead of a difference of sums as large as all users times their logarithm.
+    observed * ln(observed / expected). Every cell is off its expectation by the same d, up to sign, so
+    the logarithm is that of 1 + d / expected. Written so, terms of nearly independent items are about as
+    large as d, not as all users times their logarithm, and their sum loses nothing to cancellation. An
+    empty cell counts 0, also where its expectation is 0. (No branches: the code of a pair stays small.)
     """
     users, with_a, with_b = (c.cast("double") for c in (p.users, p.a["n"], p.b["n"]))
     both = p.co.cast("double")
+    off = both - with_a * with_b / users
     cells = [
-        (both, with_a, with_b),
-        (with_a - both, with_a, users - with_b),
-        (with_b - both, users - with_a, with_b),
-        (users - with_a - with_b + both, users - with_a, users - with_b),
+        (both, off, with_a * with_b),
+        (with_a - both, -off, with_a * (users - with_b)),
+        (with_b - both, -off, (users - with_a) * with_b),
+        (users - with_a - with_b + both, off, (users - with_a) * (users - with_b)),
     ]
-    off = both - with_a * with_b / users
-    ratio = F.lit(0.0)
-    for (observed, row, column), sign in zip(cells, (1, -1, -1, 1), strict=True):
-        expected, d = row * column / users, sign * off
-        term = F.when(observed > 0, observed * F.log1p(d / expected) - d).otherwise(-d)
-        ratio = ratio + F.when(expected > 0, term).otherwise(0.0)
-    ratio = F.greatest(F.lit(0.0), 2.0 * ratio)
+    terms = [n * F.log1p(F.greatest(d * users / (product + _TINY), F.lit(_NEARLY_NONE))) for n, d, product in cells]
+    ratio = F.greatest(F.lit(0.0), 2.0 * sum(terms[1:], terms[0]))
     return 1.0 - 1.0 / (1.0 + ratio)
 
 

@@ -133,13 +133,17 @@ def similar_pairs(
     # The bound is compared with a margin, as the similarity is rounded afterwards.
     keep = bound(_of("_a"), _of("_b")) >= threshold - 10.0 ** -(9 if m.digits is None else m.digits) if bound else None
     by = sorted(m.pair_stats)
+    prunable = k is not None and m.lower_bound is not None and plan != "pairs"
+    by_prefix = floor is not None and m.light is not None and plan in ("auto", "prefix")
+    if prunable or by_prefix:
+        prefs = cut_lineage(prefs)  # counted first, then read by the plan
     totals, counted = None, prefs
-    if floor is not None and m.light is not None and plan in ("auto", "prefix"):
+    if by_prefix:
         rows = _weighted(prefs, m, carried | set(m.light_stats))
-        prefix = prefix_rows(rows, m, floor)
-        if plan == "prefix" or _prefix_pays(prefix, prefs):
-            totals = verified_sums(rows, prefix_candidates(prefix, prefs, keep, carried, rows_per_block), m, by)
-    if totals is None and plan != "pairs" and k is not None and m.lower_bound is not None:
+        if plan == "prefix" or _prefix_pays(rows, m, floor):
+            prefix = prefix_rows(rows, m, floor)
+            totals = verified_sums(rows, prefix_candidates(prefix, keep, carried, rows_per_block), m, by)
+    if totals is None and prunable:
         by_heavy, by_others = pair_counts(prefs, rows_per_block)
         if by_heavy == 0:
             counted = None
@@ -297,6 +301,12 @@ def prefix_rows(rows: DataFrame, m: Measure, threshold: float) -> DataFrame:
     degree = rows.groupBy("user").agg(F.count("item").alias("_rows"))
     grade = F.floor(F.log2("_rows") * CLASSES).cast("int").alias("_class")
     placed = rows.join(degree.select("user", grade), "user")
+    last = _class_sums(placed, m, threshold).where(~F.col("_light")).groupBy("item").agg(F.max("_class").alias("_last"))
+    return placed.join(last, "item").where(F.col("_class") <= F.col("_last")).drop("_last")
+
+
+def _class_sums(placed: DataFrame, m: Measure, threshold: float) -> DataFrame:
+    """Per item and class of users: rows, and whether they and those of heavier classes are too light together."""
     stats = sorted(m.light_stats)
     per_class = placed.groupBy("item", "_class", *stats).agg(
         F.count("user").alias("_count"), F.sum(F.col("weight") * F.col("weight")).alias("_square")
@@ -305,23 +315,25 @@ def prefix_rows(rows: DataFrame, m: Measure, threshold: float) -> DataFrame:
     light = m.light(
         F.sum("_count").over(onwards), F.sum("_square").over(onwards), {s: F.col(s) for s in stats}, threshold
     )
-    last = per_class.withColumn("_light", light).where(~F.col("_light"))
-    last = last.groupBy("item").agg(F.max("_class").alias("_last"))
-    return placed.join(last, "item").where(F.col("_class") <= F.col("_last")).drop("_last")
+    return per_class.withColumn("_light", light)
 
 
-def _prefix_pays(prefix: DataFrame, prefs: DataFrame) -> bool:
-    """Whether the prefix rows make at most ``PREFIX_SHARE`` of all pairs."""
-
-    def pairs(rows: DataFrame) -> float:
-        sizes = rows.groupBy("user").agg(F.count("item").cast("double").alias("_rows"))
-        return sizes.agg(F.coalesce(F.sum(F.col("_rows") * (F.col("_rows") - 1)), F.lit(0.0))).first()[0]
-
-    return pairs(prefix) <= PREFIX_SHARE * pairs(prefs)
+def _prefix_pays(rows: DataFrame, m: Measure, threshold: float) -> bool:
+    """Whether the prefix rows make about ``PREFIX_SHARE`` of all pairs or less, by the rows left in each class."""
+    degree = rows.groupBy("user").agg(F.count("item").alias("_rows"))
+    grade = F.floor(F.log2("_rows") * CLASSES).cast("int").alias("_class")
+    sums = _class_sums(rows.join(degree.select("user", grade), "user"), m, threshold)
+    kept = F.sum(F.when(~F.col("_light"), F.col("_count")).otherwise(0)).alias("kept")
+    every, paired = 0.0, 0.0
+    # One row per class of users, a few hundred at most.
+    for c in sums.groupBy("_class").agg(F.sum("_count").alias("every"), kept).collect():
+        made = c["every"] * (2.0 ** (c["_class"] / CLASSES) - 0.5)
+        every, paired = every + made, paired + made * (c["kept"] / c["every"]) ** 2
+    return paired <= PREFIX_SHARE * every
 
 
 def prefix_candidates(
-    prefix: DataFrame, prefs: DataFrame, keep: Column | None, carried: set[str], rows_per_block: int
+    prefix: DataFrame, keep: Column | None, carried: set[str], rows_per_block: int
 ) -> DataFrame:
     """Distinct pairs that share a user of their prefixes and whose bound reaches the threshold: ``item_a, item_b``."""
     pairs = pairs_within(prefix, "user", "item", sorted(carried), prefix, "item", rows_per_block, keep)

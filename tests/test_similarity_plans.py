@@ -79,9 +79,10 @@ def test_prefix_pairs_fewer_rows_of_even_items(spark):
     m = MEASURES["tanimoto"]
     weighted = similarity._weighted(prefs, m, {"n"})
     prefix = similarity.prefix_rows(weighted, m, 0.6)
-    candidates = similarity.prefix_candidates(prefix, prefs, None, {"n"}, 1000)
+    candidates = similarity.prefix_candidates(prefix, None, {"n"}, 1000)
     every = similarity.cooccurrence(prefs)
     assert candidates.count() < every.count() / 10
+    assert similarity._prefix_pays(weighted, m, 0.6) and not similarity._prefix_pays(weighted, m, 0.01)
     want = every.where("co / (20 - co) >= 0.6")
     got = similarity.similar_pairs(prefs, "tanimoto", 0.6, plan="prefix")
     assert rows(got, "item_a", "item_b") == rows(want, "item_a", "item_b") != []
