@@ -179,27 +179,13 @@ def frequent(ctes: str, share: int) -> str:
 
 
 PAIRS, TRIPLES, RULES = (frequent(ctes, 49) for ctes in (_PAIRS, _TRIPLES, _RULES))
-QUADS = """,
-quads AS (
-  SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, count(*) AS freq
-  FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
-                JOIN brands c ON a.basket = c.basket AND b.item < c.item
-                JOIN brands d ON a.basket = d.basket AND c.item < d.item
-  GROUP BY ALL HAVING count(*) >= :least),
-fives AS (
-  SELECT a.item AS item_a, b.item AS item_b, c.item AS item_c, d.item AS item_d, e.item AS item_e, count(*) AS freq
-  FROM brands a JOIN brands b ON a.basket = b.basket AND a.item < b.item
-                JOIN brands c ON a.basket = c.basket AND b.item < c.item
-                JOIN brands d ON a.basket = d.basket AND c.item < d.item
-                JOIN brands e ON a.basket = e.basket AND d.item < e.item
-  GROUP BY ALL HAVING count(*) >= :least)"""
+# Every subset of every basket, counted.
 SETS = """,
-sets AS (
-  SELECT 1 AS size, [item] AS items, freq FROM singles UNION ALL SELECT 2, [item_a, item_b], freq FROM pairs
-  UNION ALL SELECT 3, [item_a, item_b, item_c], freq FROM triples
-  UNION ALL SELECT 4, [item_a, item_b, item_c, item_d], freq FROM quads
-  UNION ALL SELECT 5, [item_a, item_b, item_c, item_d, item_e], freq FROM fives)"""
-BY_LEVEL = frequent(_TRIPLES + QUADS + SETS, 600)
+grown(basket, items) AS (
+  SELECT basket, [item] FROM brands
+  UNION ALL SELECT g.basket, list_append(items, b.item) FROM grown g JOIN brands b ON b.basket = g.basket AND b.item > items[-1]),
+sets AS (SELECT len(items) AS size, items, count(*) AS freq FROM grown GROUP BY items HAVING count(*) >= :least)"""
+BY_LEVEL = "RECURSIVE " + frequent(_PAIRS + SETS, 600)
 
 def merged_sql(second: str = "price") -> str:
     """CTEs ending in ``scores`` and ``criteria``."""
@@ -225,10 +211,10 @@ scores AS (SELECT "user", item, 5 * (w1 / (1 + exp(-z1)) + w2 / (1 + exp(-z2)))
 def key_lists_sql(counts: str) -> str:
     """CTEs ending in ``lists``: kind, part, keys_list, from ``counts`` (kind, key, n)."""
     return f"""counts AS ({counts}),
-placed AS (SELECT *, (row_number() OVER (PARTITION BY kind ORDER BY key) - 1) // 1000 AS part FROM counts),
+paged AS (SELECT *, (row_number() OVER (PARTITION BY kind ORDER BY key) - 1) // 1000 AS part FROM counts),
 lists AS (
   SELECT kind, part, string_agg(concat_ws(':', key, CAST(n AS VARCHAR)), ',' ORDER BY key) AS keys_list
-  FROM placed GROUP BY ALL)"""
+  FROM paged GROUP BY ALL)"""
 
 
 SCORE_COUNTS = """
