@@ -152,7 +152,7 @@ def pairs_within(
 def rank_within(
     df: DataFrame, group: list[str], order: list[Column], rows_per_block: int = RANK_BLOCK, rank: str = "rank"
 ) -> DataFrame:
-    """Exact rank (from 1) of each row within its group, for groups of any size.
+    """Exact rank (a long, from 1) of each row within its group, for groups of any size.
 
     Groups of at most ``rows_per_block`` rows are ranked by a window. The rows of larger ones are
     range-partitioned by group and order, sorted where they lie and stored; a row's rank is its place in its
@@ -161,7 +161,7 @@ def rank_within(
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_block)
     hot = cut_lineage(counts.select(*[F.col(g).alias(f"_hot_{g}") for g in group]))
-    window = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    window = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long")
     if hot.isEmpty():
         return df.withColumn(rank, window)
     same = [df[g].eqNullSafe(hot[f"_hot_{g}"]) for g in group]
@@ -179,7 +179,7 @@ def rank_within(
     )
     same = [placed[g].eqNullSafe(parts[f"_hot_{g}"]) for g in group]
     met = placed.join(parts, [*same, placed["_part"] == parts["_hot_part"]])
-    place = (F.col("_position") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
+    place = (F.col("_position") - F.col("_first") + F.col("_before") + 1).cast("long").alias(rank)
     return ranked.unionByName(met.select(*df.columns, place))
 
 
@@ -194,9 +194,9 @@ def top_per_group(
     than its range or ``rows_per_block`` rows.
     """
     if limit > PRUNED_LIMIT:
-        numbered = rank_within(df, group, order, rows_per_block, rank)
-    else:
-        numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        kept = rank_within(df, group, order, rows_per_block, rank).where(F.col(rank) <= limit)
+        return kept.withColumn(rank, F.col(rank).cast("int"))
+    numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return numbered.where(F.col(rank) <= limit)
 
 
