@@ -20,18 +20,23 @@ _STATS = """stats AS (
          avg(pref) AS mean, var_pop(pref) * count(*) AS ssd
   FROM {prefs} GROUP BY item)"""
 
-_XLX = "(CASE WHEN {0} > 0 THEN ({0}) * ln(CAST({0} AS DOUBLE)) ELSE 0 END)"
-
-
 def _llr() -> str:
-    def x(e: str) -> str:
-        return _XLX.format(f"({e})")
-
-    total = x("users")
-    rows = f"({total} - {x('na')} - {x('users - na')})"
-    columns = f"({total} - {x('nb')} - {x('users - nb')})"
-    cells = f"({total} - {x('co')} - {x('na - co')} - {x('nb - co')} - {x('users - na - nb + co')})"
-    return f"1 - 1 / (1 + greatest(0, 2 * ({rows} + {columns} - {cells})))"
+    """Twice the sum of observed * ln(1 + off / expected), with ln(1 + x) = 2 atanh(x / (2 + x)).
+
+    A sum of x ln x terms loses digits to cancellation, and the ninth digit is compared.
+    """
+    off = "(co - CAST(na AS DOUBLE) * nb / users)"
+    cells = [
+        ("co", off, "CAST(na AS DOUBLE) * nb"),
+        ("(na - co)", f"-{off}", "CAST(na AS DOUBLE) * (users - nb)"),
+        ("(nb - co)", f"-{off}", "CAST(users - na AS DOUBLE) * nb"),
+        ("(users - na - nb + co)", off, "CAST(users - na AS DOUBLE) * (users - nb)"),
+    ]
+    terms = [
+        f"CASE WHEN {n} > 0 THEN {n} * 2 * atanh(({d} * users / ({e})) / (2 + {d} * users / ({e}))) ELSE 0 END"
+        for n, d, e in cells
+    ]
+    return f"1 - 1 / (1 + greatest(0, 2 * ({' + '.join(terms)})))"
 
 
 FORMULAS = {
