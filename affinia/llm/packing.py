@@ -11,21 +11,27 @@ partition waiting for another, and no text is shuffled.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator, Mapping
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import FLUSH, Scratch, map_batches, values
+from affinia.llm.common import Scratch, map_batches
 
 WINDOW = 1024
 END_ID = 0
 #: Numbers of a schedule that a task works out at once.
 CELLS = 2_000_000
+#: Bytes of remembered parts in each generation of an encoder, of texts encoded at once, of ids cut at once.
+CACHE, TEXTS, IDS = 48 << 20, 2 << 20, 4 << 20
 _NULL = "\x00null"
 _SPACES = re.compile(r"\s{2,}")
 
@@ -35,75 +41,129 @@ class Encoder:
 
     A single space between two other characters always starts a token of a byte-level vocabulary, so a
     text may be cut before each such space and the parts encoded on their own. Texts with any other
-    white space next to a space are encoded whole.
+    white space next to a space are encoded whole. Two generations of parts are remembered, each up
+    to ``limit`` bytes: what is met again moves to the younger one, the rest is forgotten with the older.
     """
 
-    def __init__(self, path: str, limit: int = FLUSH) -> None:
-        import os
+    #: Bytes of memory that a remembered part takes besides its characters and ids.
+    ENTRY = 220
 
+    def __init__(self, path: str, limit: int = CACHE) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.limit = limit
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Type of an id: two bytes if the vocabulary allows.
+        self.kind = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
+        self.leading = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        # The byte-level vocabularies write a space as this character; added tokens hold none.
+        self.leading[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.limit, self.held = limit, 0
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.kind) for e in encoded]
+
+    def _learn(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of parts that follow a space, many by one call: a leading space marks where each begins."""
+        for a in range(0, len(parts), 200):
+            some = parts[a : a + 200]
+            (ids,) = self._encode([" " + " ".join(some)])
+            starts = np.flatnonzero(self.leading[ids])
+            if len(starts) == len(some):
+                at = [*(ids.itemsize * starts).tolist(), ids.nbytes]
+                held = ids.tobytes()
+                yield from zip(some, map(held.__getitem__, map(slice, at, at[1:])), strict=True)
+            else:  # a part holds a token that the tokenizer treats apart
+                yield from zip(some, (x.tobytes() for x in self._encode([f" {p}" for p in some])), strict=True)
+
+    def _remember(self, part: str, ids: bytes) -> None:
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+        self.young[part] = ids
+        self.held += len(part) + len(ids) + self.ENTRY
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian integers of type ``kind``; null has none."""
+        cut = [t.split(" ") if t else [] for t in texts]
+        whole = [len(p) < 2 or not p[0] or not p[-1] or self._odd(t) for t, p in zip(texts, cut, strict=True)]
+        wanted: set[str] = set()
+        for parts, one in zip(cut, whole, strict=True):
+            if not one:
+                wanted.update(parts[1:])
+        known: dict[str, bytes] = {}
+        missing = []
+        for part in wanted:
+            if (ids := self.young.get(part)) is None:
+                if (ids := self.old.get(part)) is None:
+                    missing.append(part)
+                    continue
+                self._remember(part, ids)
+            known[part] = ids
+        for part, ids in self._learn(missing):
+            known[part] = ids
+            self._remember(part, ids)
+        firsts = iter(self._encode([t if one else p[0] for t, p, one in zip(texts, cut, whole, strict=True) if t]))
         return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            next(firsts).tobytes() + (b"" if one else b"".join(map(known.__getitem__, parts[1:]))) if t else b""
+            for t, parts, one in zip(texts, cut, whole, strict=True)
         ]
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        parts = text.split(" ")
-        if len(parts) < 2 or not parts[0] or not parts[-1] or self._odd(text):
-            return self._encode([text])[0]
-        known = self.known
-        missing = [p for p in set(parts[1:]) if p not in known]
-        if missing:
-            if len(known) > self.limit:
-                known.clear()
-                missing = list(set(parts[1:]))
-            known.update(zip(missing, self._encode([f" {p}" for p in missing]), strict=True))
-        return self._encode(parts[:1])[0] + b"".join(map(known.__getitem__, parts[1:]))
-
     def _odd(self, text: str) -> bool:
         return any(" " in m.group() for m in _SPACES.finditer(text))
 
 
+@cache
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker process."""
+    return Encoder(path)
+
+
+def _bounded(batch, name: str, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of a batch whose values of a column take about ``limit`` bytes."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes + 64) // limit
+    bounds = np.flatnonzero(np.diff(ends)) + 1
+    bounds = [0, *bounds.tolist(), len(sizes)]
+    yield from ((a, b) for a, b in zip(bounds, bounds[1:]) if a < b)
+
+
 def tokenize(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, queue, ids, n, part, before): ids with the end id; before: tokens of the queue ahead in the part."""
+    """(doc_id, queue, ids, width, n, part, before): ids with the end id; before: tokens of the queue ahead in the part.
+
+    ``width``: bytes of an id, 2 where the vocabulary allows.
+    """
 
     def run(batches) -> Iterator[dict]:
-        encoder, ahead = Encoder(tokenizer), {}
+        encoder, ahead = _encoder(tokenizer), {}
         part = TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u4").tobytes()
-        held, size = [], 0
-
-        def out() -> dict:
-            names = ("doc_id", "queue", "ids", "n", "part", "before")
-            return dict(zip(names, map(list, zip(*held, strict=True)), strict=True))
-
+        end, width = np.array([END_ID], encoder.kind).tobytes(), np.dtype(encoder.kind).itemsize
         for batch in batches:
-            for key, body, queue in values(batch, "_id", "_text", "_queue"):
-                queue = _NULL if queue is None else queue
-                ids = encoder.ids(body) + end
-                n = len(ids) // 4
-                held.append((key, queue, ids, n, part, ahead.get(queue, 0)))
-                ahead[queue] = ahead.get(queue, 0) + n
-                size += len(ids)
-                if size > 16 << 20:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
+            for a, b in _bounded(batch, "_text", TEXTS):
+                some = batch.slice(a, b - a)
+                keys, texts, queues = (some.column(i) for i in range(3))
+                queues = [_NULL if q is None else q for q in queues.to_pylist()]
+                ids = [x + end for x in encoder.encode(texts.to_pylist())]
+                n, before = [len(x) // width for x in ids], []
+                for queue, m in zip(queues, n, strict=True):
+                    before.append(ahead.get(queue, 0))
+                    ahead[queue] = before[-1] + m
+                yield {
+                    "doc_id": keys,
+                    "queue": queues,
+                    "ids": ids,
+                    "width": np.full(len(ids), width, np.int32),
+                    "n": n,
+                    "part": np.full(len(ids), part, np.int32),
+                    "before": before,
+                }
 
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(source).cast("string").alias("_queue"))
     id_type = rows.schema["_id"].dataType.simpleString()
-    return map_batches(rows, run, f"doc_id {id_type}, queue string, ids binary, n bigint, part int, before bigint")
+    return map_batches(rows, run, f"doc_id {id_type}, queue string, ids binary, width int, n bigint, part int, before bigint")
 
 
 class Schedule:
@@ -146,8 +206,16 @@ class Schedule:
         want = np.minimum(windows * self.window, self.all)
         low = np.zeros(len(want))
         high = np.full(len(want), float((self.totals / np.maximum(self.weights, 1e-300)).max(initial=0.0)) + 1.0)
-        for _ in range(100):  # the largest time at which no more are due than wanted
+        # While no queue has run dry, a token more or less per queue is all that is due besides.
+        slack = float(self.size.sum()) + 1.0
+        for guess in (want - slack, want + slack):
+            guess = np.clip(guess, low, high)
+            over = self.due(guess) @ self.size > want
+            high, low = np.where(over, guess, high), np.where(over, low, guess)
+        while True:  # the largest time at which no more are due than wanted
             middle = (low + high) / 2
+            if ((middle <= low) | (middle >= high)).all():
+                break
             over = self.due(middle) @ self.size > want
             high, low = np.where(over, middle, high), np.where(over, low, middle)
         out = self.due(low)
@@ -196,29 +264,30 @@ def pack(
 
     def run(batches) -> Iterator[dict]:
         for batch in batches:
-            rows = list(values(batch, "doc_id", "queue", "ids", "n", "at"))
-            for a in range(0, len(rows), 256):
-                if rows[a : a + 256]:
-                    yield cut(rows[a : a + 256], schedule, lanes)
+            for a, b in _bounded(batch, "ids", IDS):
+                yield cut(batch.slice(a, b - a), schedule, lanes)
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return map_batches(
-        placed.select("doc_id", "queue", "ids", "n", "at"),
+        placed.select("doc_id", "queue", "ids", "width", "n", "at"),
         run,
         f"doc_id {kind}, queue string, start bigint, length bigint, ids binary, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint",
     )
 
 
-def cut(rows: list[tuple], schedule: Schedule, lanes: dict[str, int]) -> dict:
-    """The pieces of some documents, each (doc_id, queue, ids, n, at)."""
-    lane = np.array([lanes[r[1]] for r in rows])
-    n, at = (np.array([r[i] for r in rows], np.int64) for i in (3, 4))
+def cut(batch: pa.RecordBatch, schedule: Schedule, lanes: dict[str, int]) -> dict:
+    """The pieces of some documents, rows of (doc_id, queue, ids, width, n, at)."""
+    column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+    queues = column["queue"].to_pylist()
+    lane = np.array([lanes[q] for q in queues])
+    n, at = (column[k].to_numpy() for k in ("n", "at"))
+    rows = len(lane)
     last_window = max(-(-schedule.all // schedule.window) - 1, 0)
 
     def window_of(position: np.ndarray) -> np.ndarray:
         """The window that holds a queue's token at each position."""
-        low, high = np.zeros(len(rows), np.int64), np.full(len(rows), last_window, np.int64)
+        low, high = np.zeros(rows, np.int64), np.full(rows, last_window, np.int64)
         # The share gives a guess; bracket it, then halve.
         guess = (position / np.maximum(schedule.weights[schedule.kind[lane]], 1e-300) / schedule.window).astype(np.float64)
         guess = np.clip(guess, 0, last_window).astype(np.int64)
@@ -235,31 +304,34 @@ def cut(rows: list[tuple], schedule: Schedule, lanes: dict[str, int]) -> dict:
         return low
 
     first, last = window_of(at), window_of(at + n - 1)
-    needed = [np.arange(a, b + 2) for a, b in zip(first, last, strict=True)]
-    held = np.array([len(w) for w in needed])
-    begins = np.cumsum(held) - held
-    taken, before = schedule.taken(np.concatenate(needed), np.repeat(lane, held))
-    columns: dict[str, list] = {
-        k: [] for k in ("doc_id", "queue", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    held = last - first + 2  # bounds of a document's windows
+    row = np.repeat(np.arange(rows), held)
+    windows = np.arange(len(row)) - np.repeat(np.cumsum(held) - held, held) + first[row]
+    taken, before = schedule.taken(windows, lane[row])
+    # A piece lies between two bounds of one row.
+    piece = np.flatnonzero(row[1:] == row[:-1])
+    row, own, end = row[piece], taken[piece], taken[piece + 1]
+    start, stop = np.maximum(own - at[row], 0), np.minimum(end - at[row], n[row])
+    offset = before[piece + 1] - before[piece] + start + at[row] - own
+    kept = stop > start
+    row, start, length, offset, sequence = row[kept], start[kept], (stop - start)[kept], offset[kept], windows[piece][kept]
+
+    # The pieces of a row follow each other, so their ids are those of the rows.
+    width = int(column["width"][0].as_py())
+    ids = np.frombuffer(b"".join(column["ids"].to_pylist()), f"<u{width}").astype("<u4").tobytes()
+    bounds = np.append(0, np.cumsum(4 * length)).tolist()
+    view = memoryview(ids)
+    crc = np.fromiter((zlib.crc32(view[a:b]) for a, b in zip(bounds, bounds[1:])), np.int64, len(length))
+    pieces = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.array(bounds, pa.int32()).buffers()[1], pa.py_buffer(ids)])
+    names = pa.array([None if q == _NULL else q for q in queues], pa.string())
+    return {
+        "doc_id": column["doc_id"].take(pa.array(row)),
+        "queue": names.take(pa.array(row)),
+        "start": start,
+        "length": length,
+        "ids": pieces,
+        "ids_crc32": crc,
+        "doc_tokens": n[row],
+        "sequence_id": sequence,
+        "offset": offset,
     }
-    for i, (key, queue, ids, size, begin) in enumerate(rows):
-        w = needed[i][:-1]
-        k = slice(begins[i], begins[i] + held[i])
-        own, ahead = taken[k], np.diff(before[k])
-        start = np.maximum(own[:-1] - begin, 0)
-        stop = np.minimum(own[1:] - begin, size)
-        offset = ahead + start + begin - own[:-1]
-        kept = np.flatnonzero(stop > start)
-        for j in kept.tolist():
-            piece = ids[4 * start[j] : 4 * stop[j]]
-            columns["ids"].append(piece)
-            columns["ids_crc32"].append(zlib.crc32(piece))
-        m = len(kept)
-        columns["doc_id"] += [key] * m
-        columns["queue"] += [None if queue == _NULL else queue] * m
-        columns["start"] += start[kept].tolist()
-        columns["length"] += (stop - start)[kept].tolist()
-        columns["doc_tokens"] += [size] * m
-        columns["sequence_id"] += w[kept].tolist()
-        columns["offset"] += offset[kept].tolist()
-    return columns
