@@ -7,15 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import FLUSH, Scratch, map_batches, most_frequent, values
+from affinia.llm.common import FLUSH, map_batches, values
 
 UNDETERMINED = "und"
 LONGEST_GRAM = 5
-#: Words in the broadcast head of the model; all others, and the n-grams, are looked up by joins.
-VOCABULARY = 200_000
+#: The classifier is fitted on at most so many labelled documents, and on about so many characters, of all
+#: languages together; the model, which is broadcast, is bounded by the characters.
+DOCUMENTS, CHARACTERS = 4_000, 12_000_000
 
 
 def bare(word: str) -> str:
@@ -53,34 +54,8 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
-def _count_grams(batches) -> Iterator[dict]:
-    counts: Counter = Counter()
-
-    def out() -> dict:
-        made = {"lang": [k[0] for k in counts], "gram": [k[1] for k in counts], "n": list(counts.values())}
-        counts.clear()
-        return made
-
-    for batch in batches:
-        for lang, word, n in values(batch, "lang", "word", "n"):
-            for k in range(1, LONGEST_GRAM + 1):
-                for g in grams(word, k):
-                    if not g.isspace():
-                        counts[lang, g] += n
-            if len(counts) > FLUSH:
-                yield out()
-    yield out()
-
-
 class Model:
-    """Log frequencies per language of words and character n-grams.
-
-    A model of more words than its head holds has the whole tables ``rest`` (word, logs) and
-    ``pieces`` (gram, logs) besides, which only ``identify`` looks up.
-    """
-
-    rest: DataFrame | None = None
-    pieces: DataFrame | None = None
+    """Log frequencies per language of words and character n-grams."""
 
     def __init__(self, rows: list[tuple[str, str, int]], totals: dict[str, tuple[int, int]]) -> None:
         """rows: (lang, word, n); totals: per language the words counted and the distinct ones."""
@@ -160,103 +135,43 @@ class Memory(dict):
         return self.used - 1
 
 
-def _logs(table: DataFrame, key: str, langs: list[str], totals: list[float], kinds: list[float]) -> DataFrame:
-    """(key, logs): log frequency of each row's key per language."""
-    n = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)) for lang in langs]
-    logs = [F.log((c + 0.5) / F.lit(t + 0.5 * (k + 1))) for c, t, k in zip(n, totals, kinds, strict=True)]
-    return table.groupBy(key).agg(F.array(*logs).alias("logs"))
-
-
-def train(labelled: DataFrame, vocabulary: int = VOCABULARY) -> Model:
-    """Count all words of all rows of ``labelled`` (text, lang), and their n-grams.
+def sample(labelled: DataFrame, documents: int, characters: int, doc_id: str = "doc_id") -> DataFrame:
+    """(text, lang): whole labelled texts to learn from, the same number of each language if there are enough.
 
-    Nothing counted is dropped: ``vocabulary`` is how many words are broadcast; if there are
-    more, the others and the n-grams of all stay in tables.
+    A language has its equal part of ``documents`` and of ``characters``. Its documents enter in the order of a
+    hash of their ids as long as those before them hold fewer characters than that, so at least one does.
     """
-    rows = labelled.where("text is not null and lang is not null").select("text", "lang")
+    rows = labelled.where("lang is not null").select(F.col("text"), F.col("lang"), F.xxhash64(doc_id).alias("_at"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return rows.select("text", "lang").limit(0)
+    each, room = -(-documents // len(sizes)), characters // len(sizes)
+    # Hashes below this bound hold enough rows: only these few are numbered.
+    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, (1.5 * each + 100) / n)))])
+    low = (F.col("_at").cast("double") / 2.0**64 + 0.5) <= F.try_element_at(share, F.col("lang"))
+    order = Window.partitionBy("lang").orderBy("_at", F.xxhash64("text"))
+    before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    few = rows.where("text is not null").where(low)
+    few = few.withColumns({"_row": F.row_number().over(order), "_before": F.coalesce(before, F.lit(0))})
+    return few.where((F.col("_row") <= each) & (F.col("_before") < room)).select("text", "lang")
+
+
+def train(
+    labelled: DataFrame, documents: int = DOCUMENTS, characters: int = CHARACTERS, doc_id: str = "doc_id"
+) -> Model:
+    """Learn all words and n-grams of a bounded sample of the rows of ``labelled`` (doc_id, text, lang).
+
+    Rows without text or language teach nothing; an empty table gives a model that tells nothing.
+    """
+    rows = sample(labelled, documents, characters, doc_id)
     counted = map_batches(rows, _count, "lang string, word string, n bigint")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    scratch = Scratch(labelled.sparkSession, "langid")
-    table = scratch.keep(counted)
-    totals = {r[0]: (r[1], r[2]) for r in table.groupBy("lang").agg(F.sum("n"), F.count("*")).collect()}
-    if not totals:
-        return Model([], {})
-    each = table.groupBy("word").agg(F.sum("n").alias("n"))
-    if each.count() <= vocabulary:
-        kept = sorted(((r["lang"], r["word"], r["n"]) for r in table.collect()), key=lambda r: (r[0], -r[2], r[1]))
-        scratch.drop(table)
-        return Model(kept, totals)
-
-    model = Model([], totals)
-    langs = model.langs
-    words = _logs(table, "word", langs, *([float(totals[x][i]) for x in langs] for i in (0, 1)))
-    head = most_frequent(each, "n", "word", vocabulary).select("word")
-    model.rest = scratch.keep(words)
-    top = model.rest.join(head, "word").orderBy("word").collect()
-    logs = np.array([r["logs"] for r in top]) if top else np.empty((0, len(langs)))
-    model.words = ({r["word"]: i for i, r in enumerate(top)}, logs)
-
-    pieces = map_batches(table, _count_grams, "lang string, gram string, n bigint")
-    pieces = scratch.keep(pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    scratch.drop(table)
-    size = F.length("gram").alias("k")
-    used = {(r[0], r[1]): float(r[2]) for r in pieces.groupBy(size, "lang").agg(F.sum("n")).collect()}
-    kinds = {r[0]: float(r[1]) for r in pieces.select(size, "gram").distinct().groupBy("k").count().collect()}
-    parts = [
-        _logs(pieces.where(F.length("gram") == k), "gram", langs, [used.get((k, x), 0.0) for x in langs], [kinds[k]] * len(langs))
-        for k in sorted(kinds)
-    ]
-    for part in parts[1:]:
-        parts[0] = parts[0].unionByName(part)
-    model.pieces = scratch.keep(parts[0])
-    return model
-
-
-def _sums(logs: str, size: int, weight=None) -> list:
-    by = F.lit(1) if weight is None else weight
-    return [F.sum(F.col(logs)[i] * by) for i in range(size)]
-
-
-def _elsewhere(docs: DataFrame, model: Model, text: str, key: list[str]) -> DataFrame:
-    """(key, more): per text the log scores of its words outside the head, from the whole tables."""
-    head, size = model.words[0], len(model.langs)
-
-    def run(batches) -> Iterator[dict]:
-        names = ("k1", "k2", "word", "n")
-        out: list[tuple] = []
-        for batch in batches:
-            for k1, k2, body in values(batch, *key, "_text"):
-                counts: Counter = Counter()
-                for w, n in Counter((body or "").lower().split()).items():
-                    if (bared := bare(w)) and bared not in head:
-                        counts[bared] += n
-                if counts:
-                    # Equal texts add up under one key; the row without a word tells how many there are.
-                    out.append((k1, k2, "", 1))
-                    out += [(k1, k2, w, n) for w, n in counts.items()]
-                if len(out) > 100_000:
-                    yield dict(zip(names, map(list, zip(*out, strict=True)), strict=True))
-                    out = []
-        if out:
-            yield dict(zip(names, map(list, zip(*out, strict=True)), strict=True))
-
-    def cut(batches) -> Iterator[dict]:
-        for batch in batches:
-            met = [(w, g) for (w,) in values(batch, "word") for k in range(1, LONGEST_GRAM + 1) for g in grams(w, k)]
-            yield {"word": [w for w, _ in met], "gram": [g for _, g in met]}
-
-    scratch = Scratch(docs.sparkSession, "langid")
-    rows = docs.select(*key, F.col(text).alias("_text"))
-    used = scratch.keep(map_batches(rows, run, "k1 bigint, k2 bigint, word string, n bigint"))
-    unseen = used.where("word <> ''").select("word").distinct().join(model.rest, "word", "left_anti")
-    found = map_batches(unseen, cut, "word string, gram string").join(model.pieces, "gram")
-    found = found.groupBy("word", F.length("gram").alias("k")).agg(F.count("*").alias("c"), F.array(*_sums("logs", size)).alias("s"))
-    found = found.groupBy("word").agg(F.max_by(F.struct("s", "c"), "k").alias("_f"))
-    found = found.select("word", F.array(*[F.col("_f.s")[i] / F.col("_f.c") for i in range(size)]).alias("logs"))
-    met = used.join(model.rest.unionByName(found), "word", "left")
-    copies = F.sum(F.when(F.col("word") == "", F.col("n")))
-    more = F.array(*[F.coalesce(s, F.lit(0.0)) / copies for s in _sums("logs", size, F.col("n"))])
-    return met.groupBy("k1", "k2").agg(more.alias("_more")).select(F.col("k1").alias(key[0]), F.col("k2").alias(key[1]), "_more")
+    kept = sorted((tuple(r) for r in counted.collect()), key=lambda r: (r[0], -r[2], r[1]))  # bounded by the sample
+    totals: dict[str, tuple[int, int]] = {}
+    for lang, _, n in kept:
+        words, kinds = totals.get(lang, (0, 0))
+        totals[lang] = words + n, kinds + 1
+    return Model(kept, totals)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -266,8 +181,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
     that has learned from nothing. Ties go to the language first in order. Columns of ``docs`` named
     like the new ones are replaced.
     """
-    if model.rest is not None:
-        return _identify_joined(docs, model, text, pred, score)
     # Spark broadcasts the function with the model in it.
 
     @F.pandas_udf("struct<lang: string, score: double>")
@@ -278,44 +191,3 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
 
     made = docs.withColumn("_langid", predicted(F.col(text)))
     return made.withColumn(pred, F.col("_langid.lang")).withColumn(score, F.col("_langid.score")).drop("_langid")
-
-
-def _identify_joined(docs: DataFrame, model: Model, text: str, pred: str, score: str) -> DataFrame:
-    """The same by the broadcast head and joins with the rest."""
-    index, logs = model.words
-    size = len(model.langs)
-
-    @F.pandas_udf("array<double>")
-    def known(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memory: dict[str, int] = {}  # row of logs; -1: outside the head, -2: no letter
-        for texts in parts:
-            made = []
-            for t in texts:
-                counts = Counter((t or "").lower().split())
-                if len(memory) > FLUSH:
-                    memory.clear()
-                for w in counts:
-                    if w not in memory:
-                        memory[w] = index.get(key, -1) if (key := bare(w)) else -2
-                at = np.fromiter(map(memory.__getitem__, counts), np.int64, len(counts))
-                n = np.fromiter(counts.values(), float, len(counts))
-                held = at >= 0
-                made.append(n[held] @ logs[at[held]] if (at > -2).any() else None)
-            yield pd.Series(made, dtype=object)
-
-    key = ["_k1", "_k2"]
-    keyed = docs.withColumns(
-        {"_k1": F.xxhash64(F.lit(1), F.col(text)), "_k2": F.xxhash64(F.lit(2), F.length(text), F.reverse(F.col(text)))}
-    )
-    more = _elsewhere(keyed, model, text, key)
-    met = keyed.withColumn("_known", known(F.col(text))).join(more, key, "left")
-    total = F.when(F.col("_more").isNull(), F.col("_known")).otherwise(
-        F.array(*[F.col("_known")[i] + F.col("_more")[i] for i in range(size)])
-    )
-    met = met.withColumn("_total", total).withColumn("_best", F.array_max("_total"))
-    langs = F.array(*[F.lit(x) for x in model.langs])
-    lang = F.element_at(langs, F.array_position("_total", F.col("_best")).cast("int"))
-    weight = F.aggregate("_total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best")))
-    told = F.col("_total").isNotNull()
-    new = {pred: F.when(told, lang).otherwise(F.lit(UNDETERMINED)), score: F.when(told, 1.0 / weight).otherwise(F.lit(0.0))}
-    return met.withColumns(new).drop(*key, "_known", "_more", "_total", "_best")
