@@ -5,7 +5,9 @@ remembered if it was hit twice. To need far fewer cells, a window is counted und
 inside it with the smallest hash: equal windows have equal anchors at equal distances, so an
 anchor's count is never below its window's count. Second pass: windows whose anchor is estimated to
 repeat, and only these, are grouped exactly (by a 128-bit hash of their words). The sketch only ever
-overestimates, so no repeated window is lost; where it is full, more windows are grouped.
+overestimates, so no repeated window is lost; where it is full, more windows are grouped. Equal windows
+that a task holds together are known to repeat: only one of them is shuffled to meet the other tasks'
+windows, however often it occurs.
 """
 
 from __future__ import annotations
@@ -14,10 +16,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import WordHashes, map_batches, mix, run_hashes, split_words, values
+from affinia.llm.common import FLUSH, WordHashes, map_batches, mix, run_hashes, split_words, values
 
 LENGTH = 35
 #: Words of an anchor, as a share of the window's.
@@ -122,25 +125,55 @@ def _repeats(anchors: np.ndarray, merged: list[np.ndarray], bits: int) -> np.nda
     return found
 
 
+def _settled(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For windows by their hashes: whether an equal one is among them, and whether it is the first of its kind."""
+    order = np.lexsort((h2, h1))
+    a, b = h1[order], h2[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    alone = fresh & np.append(fresh[1:], True)
+    twice, first = np.empty(len(order), bool), np.empty(len(order), bool)
+    twice[order], first[order] = ~alone, fresh
+    return twice, first
+
+
 def repeated_windows(docs: DataFrame, key: list[str], text: str, length: int = LENGTH, bits: int = BITS) -> DataFrame:
-    """(key, starts): the first words of a row's windows whose word sequence starts at another place too."""
+    """(key, runs): the first words of a row's windows whose word sequence starts at another place too.
+
+    ``key`` are long columns that tell rows apart; ``runs`` is an array of (start, run), of windows that begin
+    at ``run`` consecutive words.
+    """
     context = docs.sparkSession.sparkContext
     merged = context.broadcast(sketch(docs, text, length, bits))
+    names = [f"_key{i}" for i in range(len(key))]
 
     def windows(batches) -> Iterator[dict]:
-        hashes = WordHashes()
-        for batch in batches:
-            columns: dict[str, list] = {k: [] for k in ("h1", "h2", "start", "at")}
-            size = 0
+        """Windows that may repeat, with n = 1, and one of each kind that does, with n = 2; rows without h1 are sure."""
+        hashes, held, size = WordHashes(), [], 0
 
-            def made(batch=batch, columns=columns) -> dict:
-                held = {k: np.concatenate(v) for k, v in columns.items()}
-                at = held.pop("at")
-                for v in columns.values():
-                    v.clear()
-                return {k: batch.column(batch.schema.get_field_index(k)).take(_indices(at)) for k in key} | held
+        def out() -> dict:
+            h1, h2, start, row = (np.concatenate([h[i] for h in held]) for i in range(4))
+            keys = [np.array([h[4][i] for h in held], np.int64)[row] for i in range(len(key))]
+            twice, first = _settled(h1, h2)
+            sure = np.flatnonzero(twice)
+            # Sure windows as runs of consecutive starts of a row.
+            begins = np.ones(len(sure), bool)
+            begins[1:] = (np.diff(start[sure]) != 1) | (np.diff(row[sure]) != 0)
+            begins = np.flatnonzero(begins)
+            runs, sure = np.diff(np.append(begins, len(sure))), sure[begins]
+            asked = np.flatnonzero(first)
+            at = np.concatenate([sure, asked])
+            known = np.arange(len(at)) < len(sure)
+            return dict(zip(names, (k[at] for k in keys), strict=True)) | {
+                "h1": pa.array(h1[at], mask=known),
+                "h2": pa.array(h2[at], mask=known),
+                "start": start[at],
+                "run": np.append(runs, np.ones(len(asked), np.int64)).astype(np.int32),
+                "n": np.append(np.full(len(sure), 2), 1 + twice[asked]).astype(np.int8),
+            }
 
-            for i, (body,) in enumerate(values(batch, "_text")):
+        for batch in batches:
+            for body, *mine in values(batch, "_text", *names):
                 words = hashes.of(split_words(body))
                 if len(words) < length:
                     continue
@@ -148,28 +181,25 @@ def repeated_windows(docs: DataFrame, key: list[str], text: str, length: int = L
                 own = np.flatnonzero(_repeats(runs, merged.value, bits)[at])
                 if not len(own):
                     continue
-                columns["h1"].append(run_hashes(words, length, 0)[own].view(np.int64))
-                columns["h2"].append(run_hashes(words, length, 1)[own].view(np.int64))
-                columns["start"].append(own.astype(np.int32))
-                columns["at"].append(np.full(len(own), i))
+                h1, h2 = (run_hashes(words, length, i)[own].view(np.int64) for i in (0, 1))
+                held.append((h1, h2, own.astype(np.int32), np.full(len(own), len(held)), mine))
                 size += len(own)
-                if size > 200_000:
-                    yield made()
-                    size = 0
-            if size:
-                yield made()
-
-    rows = docs.select(*key, F.col(text).alias("_text"))
-    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in key)
-    found = map_batches(rows, windows, f"{kinds}, h1 bigint, h2 bigint, start int")
-    twice = found.groupBy("h1", "h2").agg(F.count("*").alias("_n")).where("_n > 1").select("h1", "h2")
-    return found.join(twice, ["h1", "h2"], "left_semi").groupBy(*key).agg(F.collect_set("start").alias("starts"))
-
-
-def _indices(at: np.ndarray):
-    import pyarrow as pa
+                if size > FLUSH:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
-    return pa.array(at, pa.int64())
+    rows = docs.select(*[F.col(k).alias(n) for k, n in zip(key, names, strict=True)], F.col(text).alias("_text"))
+    kinds = "".join(f"{n} bigint, " for n in names)
+    found = map_batches(rows, windows, f"{kinds}h1 bigint, h2 bigint, start int, run int, n tinyint")
+    # Sure rows have no hash: they spread over the tasks by their key, each a group of its own.
+    same = [F.coalesce(F.col(h), F.xxhash64(F.lit(i), *names, "start")) for i, h in enumerate(("h1", "h2"))]
+    alike = F.sum("n").over(Window.partitionBy(*same))
+    # A window that stands for its kind is among the sure ones already.
+    repeated = found.withColumn("_alike", alike).where("_alike > 1 and (n = 1 or h1 is null)")
+    out = repeated.groupBy(*names).agg(F.collect_set(F.struct("start", "run")).alias("runs"))
+    return out.select(*[F.col(n).alias(k) for k, n in zip(key, names, strict=True)], "runs")
 
 
 def remove_repeats(
@@ -182,20 +212,21 @@ def remove_repeats(
     than a window stay. A row is a document of its own: repeated rows of at least ``length`` words repeat
     each other. Null ids are kept; an empty table gives no rows.
     """
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
-    rows = rows.withColumn("_key", F.xxhash64("_id", "_hash"))  # equal rows share their windows' fate
-    found = repeated_windows(rows, ["_key"], "_text", length, bits)
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    # Equal rows share their windows' fate.
+    rows = rows.withColumns({"_k1": F.xxhash64(F.lit(1), "_id"), "_k2": F.xxhash64(F.lit(2), "_id", "_text")})
+    found = repeated_windows(rows, ["_k1", "_k2"], "_text", length, bits)
 
     def keep(batches) -> Iterator[dict]:
         for batch in batches:
             counts, removed, kept = [], [], []
-            for body, starts in values(batch, "_text", "starts"):
+            for body, runs in values(batch, "_text", "runs"):
                 words = split_words(body)
                 gone = np.zeros(len(words) + 1, np.int64)
-                if starts:
-                    first = np.array(starts)
+                if runs:
+                    first = np.array([r["start"] for r in runs])
                     np.add.at(gone, first, 1)
-                    np.add.at(gone, first + length, -1)
+                    np.add.at(gone, first + [r["run"] for r in runs] + length - 1, -1)
                 stay = np.cumsum(gone)[:-1] == 0
                 counts.append(len(words))
                 removed.append(int(len(words) - stay.sum()))
@@ -203,7 +234,7 @@ def remove_repeats(
                 kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
             yield {"doc_id": batch.column(0), "n_words": counts, "n_removed": removed, "kept_text": kept}
 
-    met = rows.join(found, "_key", "left").select("_id", "_text", "starts")
+    met = rows.join(found, ["_k1", "_k2"], "left").select("_id", "_text", "runs")
     kind = docs.schema[doc_id].dataType.simpleString()
     out = map_batches(met, keep, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_text string")
     return out.withColumnRenamed("doc_id", doc_id)
