@@ -29,9 +29,9 @@ from affinia.llm.common import Scratch, map_batches
 WINDOW = 1024
 END_ID = 0
 #: Numbers of a schedule that a task works out at once.
-CELLS = 2_000_000
+CELLS = 200_000
 #: Bytes of remembered parts in each generation of an encoder, of texts encoded at once, of ids cut at once.
-CACHE, TEXTS, IDS = 48 << 20, 2 << 20, 4 << 20
+CACHE, TEXTS, IDS = 32 << 20, 1 << 20, 2 << 20
 _NULL = "\x00null"
 _SPACES = re.compile(r"\s{2,}")
 
