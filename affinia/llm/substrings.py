@@ -126,8 +126,11 @@ def _repeats(anchors: np.ndarray, merged: list[np.ndarray], bits: int) -> np.nda
 
 
 def _settled(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For windows by their hashes: whether an equal one is among them, and whether it is the first of its kind."""
-    order = np.lexsort((h2, h1))
+    """For windows by their hashes: whether an equal one is among them, and whether it is the first of its kind.
+
+    Should two kinds share h1, equal windows may go unnoticed here and are left to the exact grouping.
+    """
+    order = np.argsort(h1)
     a, b = h1[order], h2[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
@@ -220,17 +223,22 @@ def remove_repeats(
     def keep(batches) -> Iterator[dict]:
         for batch in batches:
             counts, removed, kept = [], [], []
-            for body, runs in values(batch, "_text", "runs"):
+            runs = batch.column(batch.schema.get_field_index("runs"))
+            known, bounds = runs.is_valid().to_numpy(zero_copy_only=False), runs.offsets.to_numpy()
+            start, run = (runs.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            for i, (body,) in enumerate(values(batch, "_text")):
                 words = split_words(body)
-                gone = np.zeros(len(words) + 1, np.int64)
-                if runs:
-                    first = np.array([r["start"] for r in runs])
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + [r["run"] for r in runs] + length - 1, -1)
-                stay = np.cumsum(gone)[:-1] == 0
                 counts.append(len(words))
+                if not known[i]:
+                    removed.append(0)
+                    kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                    continue
+                at = slice(bounds[i], bounds[i + 1])
+                gone = np.bincount(start[at], minlength=len(words) + 1)
+                gone -= np.bincount(start[at] + run[at] + length - 1, minlength=len(words) + 1)
+                stay = np.cumsum(gone)[:-1] == 0
                 removed.append(int(len(words) - stay.sum()))
-                left = [w for w, s in zip(words, stay.tolist(), strict=True) if s] if removed[-1] else words
+                left = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
                 kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
             yield {"doc_id": batch.column(0), "n_words": counts, "n_removed": removed, "kept_text": kept}
 
