@@ -1,12 +1,16 @@
-"""Secret scan: fixed patterns, and random-looking strings by two character Markov models.
+"""Secret scan: fixed patterns, and random-looking strings by character Markov models.
 
-One model is trained on strings labelled secret (what the patterns find), one on ordinary
-identifiers (all other long tokens); a token is reported if the log-likelihood ratio is high.
+Trigram models of random strings are compared with one of ordinary identifiers by the log-likelihood
+ratio. The labelled samples of random strings are the values that the patterns find in the texts, and strings drawn from each of
+``ALPHABETS``; those of ordinary ones are all other words of the texts, and identifiers, paths, dates and numbers
+made by rule (``ordinary_samples``). A long token is judged by its best stretch between separators, so a key
+in a path or behind a name is found and a name behind it does not hide it. UUIDs count as random.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 
@@ -31,11 +35,76 @@ _CODE = np.full(256, _EDGE, np.int64)
 for _i, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _i
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
-#: A candidate is this long at least, and its ratio this many nats, in all and for each character.
+#: Alphabets of random strings, each with a model of its own.
+ALPHABETS = {
+    "letters and digits": ALPHABET[:62],
+    "lower case and digits": ALPHABET[26:62],
+    "upper case and digits": ALPHABET[:26] + ALPHABET[52:62],
+    "base 32": ALPHABET[:26] + "234567",
+    "base 64": ALPHABET[:64],
+}
+#: Labelled samples drawn for each alphabet, and in all for ordinary strings.
+RANDOM_SAMPLES, ORDINARY_SAMPLES = 4_000, 12_000
+# Words of which sample identifiers are made.
+NAMES = (
+    "access account action address archive article balance batch binary block bridge buffer build bundle button cache calendar "
+    "catalog category channel class client cluster collection column command comment common component config connection "
+    "container content context control counter country create current customer daily data default delete detail device "
+    "directory document domain download editor element engine entry error event example export factory feature field file "
+    "filter folder format function gateway global group handler header history home host image import index input instance "
+    "internal invoice item journal language layout library license linux listener local manager mapping master member "
+    "message method metric model module monitor network number object option order output package page parser partner "
+    "password payment platform plugin point policy process product profile project property provider public query queue "
+    "record region register release remote report request resource response result root route schedule schema script search "
+    "server service session setting shared source state static status storage stream string subject support system table target "
+    "template thread token train transfer update upload user util value version view warehouse window worker write"
+).split()
+
+#: Words that train the ordinary model, and tokens that are judged.
+WORD, TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{6,}"), re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Where a stretch may begin or end inside a token.
+PART = re.compile(r"[+/_.=-]*([A-Za-z0-9]*)")
+#: A stretch is this long at least, and its ratio this many nats, in all and for each character.
 LENGTH, LEAST, LEAST_EACH = 16, 20.0, 0.8
 
 
+def random_samples(alphabet: str, n: int = RANDOM_SAMPLES, seed: int = 1) -> list[str]:
+    """Strings of 16 to 64 characters, each drawn evenly from ``alphabet``."""
+    draw = np.random.default_rng(seed)
+    letters = np.array(list(alphabet))
+    return ["".join(letters[draw.integers(0, len(letters), k)]) for k in draw.integers(16, 65, n)]
+
+
+def ordinary_samples(n: int = ORDINARY_SAMPLES, seed: int = 2) -> list[str]:
+    """Identifiers in the usual spellings, paths, host names, dates, times, versions, addresses, numbers and filling."""
+    draw = random.Random(seed)
+
+    def made(k: int) -> str:
+        words = draw.choices(NAMES, k=draw.randint(2, 4))
+        year, month, day, hour, minute, second = (draw.randint(*x) for x in ((1970, 2099), (1, 12), (1, 28), (0, 23), (0, 59), (0, 59)))
+        date = draw.choice("-/._").join((f"{year}", f"{month:02}", f"{day:02}"))
+        time = draw.choice("-/._").join((f"{hour:02}", f"{minute:02}", f"{second:02}"))
+        return (
+            words[0] + "".join(w.title() for w in words[1:]),
+            "".join(w.title() for w in words),
+            "_".join(words),
+            "_".join(words).upper(),
+            "-".join(words),
+            "/" + "/".join(words) + draw.choice(("", ".txt", ".json", ".html", ".py", "/index.php", f"/{draw.randint(0, 9999)}")),
+            ".".join(words) + draw.choice((".com", ".org", ".net", "", f".{draw.randint(0, 99)}")),
+            f"{words[0]}={words[1]}{draw.randint(0, 999)}",
+            date + draw.choice("T_-/") + time,
+            f"{year}{month:02}{day:02}{draw.choice('T_-')}{hour:02}{minute:02}{second:02}Z",
+            f"{words[0]}-{draw.randint(0, 20)}.{draw.randint(0, 99)}.{draw.randint(0, 999)}{draw.choice(('', '-beta', '.jar', '-SNAPSHOT'))}",
+            ".".join(str(draw.randint(0, 255)) for _ in range(4)),
+            str(draw.randrange(10 ** draw.randint(8, 24))),
+            draw.choice(ALPHABET) * draw.randint(8, 40),
+            ALPHABET[draw.randint(0, 40) :][: draw.randint(8, 26)],
+        )[k % 15]
+
+    return [made(k) for k in range(n)]
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the fixed patterns, by start, then kind as listed."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -60,28 +129,37 @@ def _trigrams(tokens: list[str]) -> np.ndarray:
     return at[c[1:-1] + c[2:] < 2 * _EDGE]  # without the step from one edge to the next
 
 
-def _labelled(text: str) -> tuple[list[str], list[str]]:
-    """Tokens of a text that are secrets by the patterns, and the others."""
-    spans = base_spans(text)
-    secret, ordinary, k = [], [], 0
-    for m in TOKEN.finditer(text):
-        while k < len(spans) and spans[k][2] <= m.start():
-            k += 1
-        inside = any(a < m.end() and m.start() < b for _, a, b in spans[k : k + 3])
-        (secret if inside else ordinary).append(m.group())
-    return secret, ordinary
-
+def _labelled(text: str, prior: np.ndarray) -> tuple[list[str], list[str]]:
+    """The values of the secrets that the patterns find in a text, and the words outside their spans.
 
-def _count(batches) -> Iterator[dict]:
+    Words that ``prior``, the table of the samples alone, finds random are in neither: a key that stands
+    in many texts must not become ordinary by that.
+    """
+    spans = base_spans(text)
+    secret = [m.group(2) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
+    secret += ACCESS.findall(text) + HEX.findall(text)
+    pieces, at = [], 0
+    for _, start, end in spans:
+        if start > at:
+            pieces.append(text[at:start])
+        at = max(at, end)
+    words = WORD.findall(" ".join([*pieces, text[at:]]) if spans else text)
+    return secret, [w for w in words if len(w) < LENGTH or not best_stretches(w, prior)]
+
+
+def _count(batches, prior: np.ndarray) -> Iterator[dict]:
     counts = np.zeros((2, _SIZE**3), np.int64)
     for batch in batches:
         both: tuple[list, list] = ([], [])
         for (text,) in values(batch, "text"):
-            for mine, found in zip(both, _labelled(text), strict=True):
+            for row, mine, found in zip(counts, both, _labelled(text, prior), strict=True):
                 mine += found
-        for row, tokens in zip(counts, both, strict=True):
-            if tokens:
-                row += np.bincount(_trigrams(tokens), minlength=_SIZE**3)
+                if len(mine) > 100_000:
+                    row += np.bincount(_trigrams(mine), minlength=_SIZE**3)
+                    mine.clear()
+        for row, mine in zip(counts, both, strict=True):
+            if mine:
+                row += np.bincount(_trigrams(mine), minlength=_SIZE**3)
     for label in (0, 1):
         at = np.flatnonzero(counts[label])
         yield {"label": np.full(len(at), label, np.int32), "gram": at, "n": counts[label][at]}
@@ -100,19 +178,66 @@ def _model(counts: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Log-likelihood ratio of each trigram, secret against ordinary, from all texts.
+    """Log-likelihood ratios of trigrams against the ordinary model: a row for each model of random strings.
 
-    The counts that reach the driver are bounded by the alphabet (two tables of 69^3).
-    Without labelled secrets there is nothing to compare: the ratio is 0 everywhere.
+    All texts are counted. The counts that reach the driver are bounded by the alphabet (two tables of
+    69^3). The first row is the model of the texts' own secrets; it is left out where they hold none.
     """
     rows = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    counted = map_batches(rows, _count, "label int, gram bigint, n bigint").groupBy("label", "gram").agg(F.sum("n"))
     counts = np.zeros((2, _SIZE**3))
+    prior = ratios(*counts)
+    counted = map_batches(rows, lambda batches: _count(batches, prior), "label int, gram bigint, n bigint")
+    counted = counted.groupBy("label", "gram").agg(F.sum("n"))
     for label, gram, n in counted.collect():
         counts[label, gram] = n
-    if not counts[0].any() or not counts[1].any():
-        return np.zeros(_SIZE**3, np.float32)
-    return (_model(counts[0]) - _model(counts[1])).reshape(-1).astype(np.float32)
+    return ratios(*counts)
+
+
+def ratios(secret: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The table of ``train`` from trigram counts of secrets and of ordinary words."""
+
+    def counted(tokens: list[str]) -> np.ndarray:
+        return np.bincount(_trigrams(tokens), minlength=_SIZE**3).astype(float)
+
+    made = counted(ordinary_samples())
+    # Many words must not outvote the samples: both kinds weigh alike.
+    ordinary = _model(made + words * min(1.0, made.sum() / max(words.sum(), 1.0)))
+    models = [_model(secret)] if secret.any() else []
+    models += [_model(counted(random_samples(a, seed=k))) for k, a in enumerate(ALPHABETS.values())]
+    return np.stack([(m - ordinary).reshape(-1) for m in models]).astype(np.float32)
+
+
+def best_stretches(token: str, ratio: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of a token that one model of random strings explains far better.
+
+    The model with the highest-scoring stretch is taken. A stretch is made of whole parts between separators
+    and begins with no separator; it ends where its sum is highest before falling below 0, in one pass.
+    """
+    c = _codes([token])[: len(token) + 2]
+    grams = (c[:-2] * _SIZE + c[1:-1]) * _SIZE + c[2:]
+    parts = [(m.start(1), m.end()) for m in PART.finditer(token) if m.end() > m.start()]
+    best: tuple[float, list[tuple[int, int]]] = (0.0, [])
+    for row in ratio:
+        upto = np.concatenate([[0.0], row[grams].cumsum(dtype=float)])
+        found: list[tuple[float, int, int]] = []
+        start = end = -1
+        peak = 0.0
+        for inner, cut in parts:
+            if start < 0:
+                start = end = inner
+            total = upto[cut] - upto[start]
+            if total > peak:
+                peak, end = total, cut
+            if total <= 0:
+                found.append((peak, start, end))
+                start, peak = -1, 0.0
+        if start >= 0:
+            found.append((peak, start, end))
+        kept = [x for x in found if x[2] - x[1] >= LENGTH and x[0] >= LEAST and x[0] >= LEAST_EACH * (x[2] - x[1])]
+        top = max((x[0] for x in kept), default=0.0)
+        if top > best[0]:
+            best = (top, [x[1:] for x in kept])
+    return best[1]
 
 
 def spans_of(text: str, ratio: np.ndarray | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -120,16 +245,15 @@ def spans_of(text: str, ratio: np.ndarray | None) -> tuple[list[tuple[str, int,
     base = base_spans(text)
     if ratio is None:
         return base, base
-    more, k = [], 0
+    more, k, covered = [], 0, 0
     for m in TOKEN.finditer(text):
-        if m.end() - m.start() < LENGTH:
-            continue
-        score = float(ratio[_trigrams([m.group()])].sum())
-        if score >= LEAST and score >= LEAST_EACH * (m.end() - m.start()):
-            while k < len(base) and base[k][2] <= m.start():
+        for start, end in best_stretches(m.group(), ratio):
+            a, b = m.start() + start, m.start() + end
+            while k < len(base) and base[k][1] < b:
+                covered = max(covered, base[k][2])  # the furthest end of base spans that start before b
                 k += 1
-            if not any(a < m.end() and m.start() < b for _, a, b in base[k:]):
-                more.append(("markov", m.start(), m.end()))
+            if covered <= a:
+                more.append(("markov", a, b))
     both = sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
     return base, both
 
