@@ -3,14 +3,16 @@
 The subword vocabulary exists already; its scores (ranks) give the prior of a unigram model, and the
 training documents its weights, by expected counts over the segmentations of all their words.
 No subword spans two words, so a text's probability is the product over its words and its end, and
-the forward recursion runs once per distinct word instead of once per occurrence.
+the recursions run once per distinct word instead of once per occurrence, for blocks of words at a time.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,83 +44,145 @@ def prior(size: int) -> np.ndarray:
 
 
 class Lattice:
-    """The segmentations of a word: arcs are pieces, or the bytes of one character."""
+    """The segmentations of words: arcs are pieces, or the bytes of one character.
+
+    Words are handled in blocks as flat arrays: all places of a block walk the trie of pieces together, then
+    the recursions go through the words' offsets, one step for all words of the block.
+    """
 
     def __init__(self, pieces: list[str], logs: np.ndarray) -> None:
-        self.logs = logs.tolist()
-        self.trie: dict = {}
+        self.logs = np.asarray(logs, float)
         self.bytes: dict[int, int] = {}
-        self.chars: dict[str, tuple[float, list[int]]] = {}
+        # The trie: a sorted key for each pair of a node and a character, the node it leads to, the piece ending there.
+        self.ids = np.zeros(sys.maxunicode + 1, np.int64)  # 0: a character of no piece
+        children: list[dict[int, int]] = [{}]
+        ending = [-1]
         for i, piece in enumerate(pieces):
             if len(piece) == 6 and piece.startswith("<0x"):
                 self.bytes[int(piece[3:5], 16)] = i
                 continue
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[None] = i
-
-    def _char(self, c: str) -> tuple[float, list[int]]:
-        if (known := self.chars.get(c)) is None:
-            ids = [self.bytes[b] for b in c.encode("utf-8", "surrogatepass")]
-            known = self.chars[c] = (sum(self.logs[i] for i in ids), ids)
-        return known
-
-    def forward(self, word: str, arcs: list | None = None) -> list[float]:
-        """Log probability of each prefix; ``arcs`` gets (from, to, log, piece or None)."""
-        text = SPACE + word
-        n, trie, logs = len(text), self.trie, self.logs
-        coming: list[list[float]] = [[] for _ in range(n + 1)]
-        alpha = [0.0] * (n + 1)
-        for i in range(n):
-            if i:
-                into = coming[i]
-                if len(into) == 1:
-                    alpha[i] = into[0]
-                else:
-                    top = max(into)
-                    alpha[i] = top + math.log(sum([math.exp(x - top) for x in into]))
-            a = alpha[i]
-            by_bytes = self._char(text[i])[0]
-            coming[i + 1].append(a + by_bytes)
-            if arcs is not None:
-                arcs.append((i, i + 1, by_bytes, None))
-            node, j = trie.get(text[i]), i + 1
-            while node is not None:
-                k = node.get(None)
-                if k is not None:
-                    coming[j].append(a + logs[k])
-                    if arcs is not None:
-                        arcs.append((i, j, logs[k], k))
-                if j == n:
-                    break
-                node = node.get(text[j])
-                j += 1
-        into = coming[n]
-        top = max(into)
-        alpha[n] = top + math.log(sum([math.exp(x - top) for x in into]))
-        return alpha
-
-    def expect(self, word: str, weight: float, counts: np.ndarray) -> None:
-        """Add the expected number of times each piece is used in the word."""
-        arcs: list[tuple[int, int, float, int | None]] = []
-        alpha = self.forward(word, arcs)
-        whole, text = alpha[-1], SPACE + word
-        beta = [-math.inf] * len(alpha)
-        beta[-1] = 0.0
-        for i, j, log, k in reversed(arcs):  # every arc into j comes before those from j
-            b = beta[j] + log
-            old = beta[i]
-            if old == -math.inf:
-                beta[i] = b
-            else:
-                beta[i] = old + math.log1p(math.exp(b - old)) if old > b else b + math.log1p(math.exp(old - b))
-            p = weight * math.exp(alpha[i] + b - whole)
-            if k is None:
-                for byte in self._char(text[i])[1]:
-                    counts[byte] += p
-            else:
-                counts[k] += p
+            node = 0
+            for c in map(ord, piece):
+                if c not in children[node]:
+                    children[node][c] = len(children)
+                    children.append({})
+                    ending.append(-1)
+                node = children[node][c]
+            ending[node] = i
+        known = sorted({c for at in children for c in at})
+        self.ids[known] = np.arange(1, len(known) + 1)
+        self.width = len(known) + 1
+        steps = sorted((node * self.width + int(self.ids[c]), child) for node, at in enumerate(children) for c, child in at.items())
+        self.keys, self.child = np.array(steps + [(np.iinfo(np.int64).max, 0)], np.int64).T.copy()
+        self.ending = np.array(ending)
+        self.by_bytes = np.full(sys.maxunicode + 1, np.nan)
+
+    def _spelled(self, char: int) -> list[int]:
+        """The byte pieces of a character."""
+        return [self.bytes[x] for x in chr(char).encode("utf-8", "surrogatepass")]
+
+    def _arcs(self, words: list[str]) -> _Arcs:
+        text = SPACE + SPACE.join(words)  # no word holds white space, and a mark before each is what they get
+        flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        stop = np.cumsum(sizes)
+        word = np.repeat(np.arange(len(words)), sizes)
+        offset = np.arange(len(flat)) - np.repeat(stop - sizes, sizes)
+        for c in set(flat[np.isnan(self.by_bytes[flat])].tolist()):
+            self.by_bytes[c] = sum(self.logs[i] for i in self._spelled(c))
+        chars, last = self.ids[flat], stop[word]
+        starts, sized, pieces = [np.arange(len(flat))], [np.ones(len(flat), np.int64)], [np.full(len(flat), -1)]
+        at, node, size = np.arange(len(flat)), np.zeros(len(flat), np.int64), 0
+        while len(at):
+            key = node * self.width + chars[at + size]
+            found = np.searchsorted(self.keys, key)
+            hit = self.keys[found] == key
+            at, node, size = at[hit], self.child[found[hit]], size + 1
+            piece = self.ending[node]
+            ends = piece >= 0
+            starts.append(at[ends])
+            sized.append(np.full(len(starts[-1]), size))
+            pieces.append(piece[ends])
+            more = at + size < last[at]
+            at, node = at[more], node[more]
+        start, size, piece = np.concatenate(starts), np.concatenate(sized), np.concatenate(pieces)
+        log = np.where(piece < 0, self.by_bytes[flat[start]], self.logs[piece])
+        # A word has one node more than characters.
+        tail = start + word[start]
+        return _Arcs(flat, start, tail, tail + size, offset[start], offset[start] + size, log, piece, stop + np.arange(len(words)), word)
+
+    def forward(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word over all its segmentations."""
+        arcs = self._arcs(words)
+        return _sums(arcs.tail, arcs.head, arcs.upto, arcs.log, arcs.final, len(words) + len(arcs.flat), forwards=True)[arcs.final]
+
+    def expect(self, words: list[str], weights: np.ndarray, counts: np.ndarray) -> None:
+        """Add the expected number of times each piece is used in the words."""
+        arcs = self._arcs(words)
+        nodes = len(words) + len(arcs.flat)
+        alpha = _sums(arcs.tail, arcs.head, arcs.upto, arcs.log, arcs.final, nodes, forwards=True)
+        beta = _sums(arcs.head, arcs.tail, arcs.since, arcs.log, arcs.final, nodes, forwards=False)
+        word = arcs.word[arcs.start]
+        p = weights[word] * np.exp(alpha[arcs.tail] + arcs.log + beta[arcs.head] - alpha[arcs.final][word])
+        piece = arcs.piece >= 0
+        counts += np.bincount(arcs.piece[piece], p[piece], len(counts))
+        chars, which = np.unique(arcs.flat[arcs.start[~piece]], return_inverse=True)
+        for char, x in zip(chars.tolist(), np.bincount(which, p[~piece]), strict=True):
+            for i in self._spelled(char):
+                counts[i] += x
+
+
+class _Arcs(NamedTuple):
+    flat: np.ndarray  # characters of all words, each after a mark
+    start: np.ndarray  # of each arc: its first character, the nodes it joins, their offsets in the word
+    tail: np.ndarray
+    head: np.ndarray
+    since: np.ndarray
+    upto: np.ndarray
+    log: np.ndarray
+    piece: np.ndarray  # -1: spelled by bytes
+    final: np.ndarray  # last node of each word
+    word: np.ndarray  # word of each character
+
+
+def _sums(
+    source: np.ndarray, target: np.ndarray, offset: np.ndarray, log: np.ndarray, final: np.ndarray, nodes: int, forwards: bool
+) -> np.ndarray:
+    """Log of the summed probabilities of all ways to each node, from the words' beginnings or from their ends.
+
+    ``offset`` is that of each arc's target in its word; targets of one offset are settled in one step.
+    """
+    order = np.argsort(offset * nodes + target)
+    source, target, offset, log = source[order], target[order], offset[order], log[order]
+    if not forwards:  # the offset counts from the beginning, so the last comes first
+        source, target, offset, log = source[::-1], target[::-1], offset[::-1], log[::-1]
+    first = np.flatnonzero(np.diff(target, prepend=-1))
+    levels = np.flatnonzero(np.diff(offset[first], prepend=-1))
+    out = np.zeros(nodes)
+    bounds = [*levels.tolist(), len(first)]
+    edges = np.append(first, len(target))
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        lo, hi = edges[a], edges[b]
+        ways = out[source[lo:hi]] + log[lo:hi]
+        groups = first[a:b] - lo
+        top = np.maximum.reduceat(ways, groups)
+        sizes = np.diff(edges[a : b + 1])
+        out[target[first[a:b]]] = top + np.log(np.add.reduceat(np.exp(ways - np.repeat(top, sizes)), groups))
+    return out
+
+
+def _blocks(batch: pa.RecordBatch, limit: int = 32_000) -> Iterator[tuple[int, list[str]]]:
+    """(first row, words) of a batch in blocks of about ``limit`` bytes; a longer word is a block of its own."""
+    held: list[str] = []
+    size = begin = 0
+    for row, (word,) in enumerate(values(batch, "word")):
+        if held and size + len(word) > limit:
+            yield begin, held
+            held, size, begin = [], 0, row
+        held.append(word.decode("utf-8", "surrogatepass"))
+        size += len(word) + 1
+    if held:
+        yield begin, held
 
 
 def count_words(docs: DataFrame, text: str, train: Column) -> DataFrame:
@@ -159,8 +223,9 @@ def expected(words: DataFrame, pieces: list[str], probabilities: np.ndarray) ->
     def run(batches) -> Iterator[dict]:
         lattice, counts = Lattice(pieces, logs), np.zeros(len(pieces))
         for batch in batches:
-            for word, c in values(batch, "word", "c"):
-                lattice.expect(word.decode("utf-8", "surrogatepass"), c, counts)
+            weights = batch.column(batch.schema.get_field_index("c")).to_numpy().astype(float)
+            for row, held in _blocks(batch):
+                lattice.expect(held, weights[row : row + len(held)], counts)
         used = np.flatnonzero(counts)
         yield {"piece": used.astype(np.int32), "x": counts[used]}
 
@@ -205,10 +270,10 @@ def score(
     def marginals(batches) -> Iterator[dict]:
         lattice = Lattice(pieces, logs[:-1])
         for batch in batches:
-            found = [
-                end_log if w == END else lattice.forward(w.decode("utf-8", "surrogatepass"))[-1] / _LN10
-                for (w,) in values(batch, "word")
-            ]
+            found = np.empty(batch.num_rows)
+            for row, held in _blocks(batch):
+                logs_of = lattice.forward(held) / _LN10
+                found[row : row + len(held)] = np.where([not w for w in held], end_log, logs_of)
             yield {k: batch.column(batch.schema.get_field_index(k)) for k in ("word", "c", "total")} | {"score": found}
 
     scored = map_batches(words, marginals, "word binary, c bigint, total bigint, score double")
