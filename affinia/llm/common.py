@@ -157,6 +157,24 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Most rows of a filter that is broadcast, 64 bits each.
+FILTER_WORDS = 1 << 20
+
+
+def mark_members(df: DataFrame, members: DataFrame, keys: tuple[str, str], name: str, scratch: Scratch) -> DataFrame:
+    """``df`` with the boolean ``name``: true where the keys, two hashes, are those of a member, and for a few others.
+
+    A blocked Bloom filter (three bits in one word of 64, about 16 bits a member up to ``FILTER_WORDS``
+    words) tells most of the others apart in the scan. A fuller filter only marks more rows.
+    """
+    words = min(FILTER_WORDS, max(64, members.count() // 4))
+    word = F.pmod(keys[0], F.lit(words))
+    mask = F.expr(" | ".join(f"shiftleft(1L, cast(pmod(shiftright({keys[1]}, {shift}), 64) as int))" for shift in (0, 6, 12)))
+    marked = scratch.keep(members.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits")))
+    met = df.withColumn("_word", word).join(F.broadcast(marked), "_word", "left")
+    return met.withColumn(name, F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))).drop("_word", "_bits")
+
+
 def most_frequent(df: DataFrame, n: str, key: str, limit: int, group: str | None = None) -> DataFrame:
     """About ``limit`` rows of each group with the largest ``n``, found without sorting a group in one task.
 

@@ -18,13 +18,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import Scratch, map_batches, values
+from affinia.llm.common import Scratch, map_batches, mark_members, values
 from affinia.operators.ids import id_dictionary
 
 #: A run counts if it has this many lines, or this many words in all.
 MIN_LINES, MIN_WORDS = 3, 40
-#: Most rows of the filter that is broadcast to find documents which lose a line; 64 bits each.
-FILTER_WORDS = 1 << 20
 
 
 def _split(docs: DataFrame, id_type: str) -> DataFrame:
@@ -109,23 +107,12 @@ def drop_lines(text: str | None, runs: list[tuple[int, int]]) -> tuple[int, int,
 
 
 def _meet_runs(keyed: DataFrame, runs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``keyed`` with ``_runs``: null for documents that lose no line, whose texts are not shuffled.
-
-    A blocked Bloom filter of the changed documents (three bits in one word of 64, about 16 bits a document
-    up to ``FILTER_WORDS``) tells the others apart in the scan. A fuller filter only sends more documents to
-    the join, which decides.
-    """
-    words = min(FILTER_WORDS, max(64, runs.count() // 4))
-    word = F.pmod("_k1", F.lit(words))
-    bits = [f"shiftleft(1L, cast(pmod(shiftright(_k2, {shift}), 64) as int))" for shift in (0, 6, 12)]
-    mask = F.expr(" | ".join(bits))
-    marked = scratch.keep(runs.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits")))
-    met = keyed.withColumn("_word", word).join(F.broadcast(marked), "_word", "left")
-    changed = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
+    """``keyed`` with ``_runs``: null for documents that lose no line, whose texts are not shuffled."""
+    met = mark_members(keyed, runs, ("_k1", "_k2"), "_changed", scratch)
     # One plan at every size: the table of runs grows with the input and is never broadcast.
-    joined = met.where(changed).join(runs.hint("merge"), ["_k1", "_k2"], "left")
-    untouched = met.where(~changed).withColumn("_runs", F.lit(None).cast(runs.schema["_runs"].dataType))
-    return untouched.unionByName(joined).drop("_word", "_bits")
+    joined = met.where("_changed").join(runs.hint("merge"), ["_k1", "_k2"], "left")
+    untouched = met.where("not _changed").withColumn("_runs", F.lit(None).cast(runs.schema["_runs"].dataType))
+    return untouched.unionByName(joined).drop("_changed")
 
 
 def dedup_lines(

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import Scratch, WordHashes, ascii_lower, map_batches, mix, run_hashes, values
+from affinia.llm.common import Scratch, WordHashes, ascii_lower, map_batches, mark_members, mix, run_hashes, values
 from affinia.llm.components import components
 
 SHINGLE = 5
@@ -114,23 +114,27 @@ def prefix_pairs(sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(a, b) of (id, set, component): every pair of different components that can be similar enough.
 
     Two sets that share ``percent`` of their union also share one of the rarest elements of each, if as
-    many are taken as a similar set may lack, and one more. Copies with changes of their own
-    differ in rare elements, so a group of them meets in few pairs.
+    many are taken as a similar set may lack, and one more. At their first shared element in the order of rarity, both
+    must have enough left to reach the shared part that their sizes ask for; the smaller set has it among
+    fewer of its rarest elements, so only these are looked up. A common element is rarely among them, and
+    members of a group of copies, which differ in rare elements, meet in few rows.
     """
     elements = scratch.keep(sets.select("id", "component", F.size("set").alias("n"), F.explode("set").alias("x")))
-    found = elements.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
+    found = elements.groupBy("x").agg(F.count("*").alias("df"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
     rarest = Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "x")
-    ranked = elements.join(found, "x", "left").withColumn("_r", F.row_number().over(rarest))
-    prefix = scratch.keep(ranked.where(f"df > 1 and _r <= n - ({percent} * n + 99) div 100 + 1").select("id", "component", "n", "x"))
-    one, two = (prefix.select("x", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "component", "n")]) for e in "ab")
-    differ = "x_a = x_b and id_a < id_b and component_a <> component_b and 100 * n_a >= {0} * n_b and 100 * n_b >= {0} * n_a"
-    met = one.withColumnRenamed("x", "x_a").join(two.withColumnRenamed("x", "x_b"), F.expr(differ.format(percent)))
-    both = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
-        F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")
+    ranked = elements.join(found.where("_lo < _hi"), "x", "left").withColumn("r", F.row_number().over(rarest))
+    prefix = scratch.keep(ranked.where(f"df > 1 and r <= n - ({percent} * n + 99) div 100 + 1").select("id", "component", "n", "x", "r"))
+    scratch.drop(elements)
+    small, large = (prefix.select("x", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "component", "n", "r")]) for e in "ab")
+    small = small.where(f"r_a <= n_a - ({2 * percent} * n_a + {99 + percent}) div {100 + percent} + 1")
+    met = small.withColumnRenamed("x", "x_a").join(
+        large.withColumnRenamed("x", "x_b"),
+        F.expr(
+            f"x_a = x_b and component_a <> component_b and (n_a < n_b or n_a = n_b and id_a < id_b) and 100 * n_a >= {percent} * n_b"
+            f" and least(n_a - r_a, n_b - r_b) + 1 >= ({percent} * (n_a + n_b) + {99 + percent}) div {100 + percent}"
+        ),
     )
-    # Beyond the rarest elements of one of them, a pair shares at most what that one has left.
-    left = F.expr(f"greatest(({percent} * n_a + 99) div 100, ({percent} * n_b + 99) div 100) - 1")
-    return both.where((100 + percent) * (F.col("c") + left) >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    return met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -181,9 +185,12 @@ def near_duplicates(
     stars = scratch.keep(met.where("a <> b").where(fits("_na", "_nb")).select("a", "b", "hub").distinct())
 
     wanted = banded.select("rep").distinct()
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        wanted.select(F.col("rep").alias("id")), "id", "left_semi"
-    )
+    # Only texts of representatives with company are shuffled: a filter of their ids leaves the others in the scan.
+    hashed = {"_k1": F.xxhash64(F.lit(1), "id"), "_k2": F.xxhash64(F.lit(2), "id")}
+    wanted = scratch.keep(wanted.select(F.col("rep").alias("id")).withColumns(hashed))
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).withColumns(hashed)
+    texts = mark_members(texts, wanted, ("_k1", "_k2"), "_wanted", scratch).where("_wanted").select("id", "text")
+    texts = texts.join(wanted.select("id").hint("merge"), "id", "left_semi")
     # Of a repeated id only the row with the representative's set counts, and that once.
     named = classes.select(F.col("rep").alias("id"), "set_id")
     sets = shingle_sets(texts, shingle).join(named, ["id", "set_id"]).dropDuplicates(["id", "set_id"])
