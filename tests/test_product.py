@@ -78,3 +78,12 @@ def test_pairs_are_not_shuffled(spark, capsys):
     similarity.cooccurrence(prefs).explain()
     plan = capsys.readouterr().out
     assert "hashpartitioning(item_a" not in plan and plan.count("Exchange") and "hashpartitioning(item#" not in plan
+
+
+def test_proposals_are_not_shuffled(spark, capsys):
+    from affinia.operators.recommend import recommend
+
+    prefs = spark.createDataFrame(table(5, 20, 15, 0.4, [1, 2]), "user bigint, item bigint, pref double")
+    recommend(prefs, similarity.item_similarity(prefs, "cosine", 4), n=3).explain()
+    plan = capsys.readouterr().out
+    assert "REPARTITION" in plan.upper() and "hashpartitioning(user" not in plan
