@@ -149,3 +149,12 @@ def test_nan_and_zero_preferences_are_no_entries(spark):
         assert rows(similarity.item_similarity(with_odd, measure), "item", "other", "sim") == want
     stats = {r["item"]: (r["n"], r["low"], r["spread"]) for r in similarity.item_stats(with_odd).collect()}
     assert stats == {1: (2, 1.0, 0.5), 2: (3, 1.0, pytest.approx(5 / 3))}
+
+
+@pytest.mark.parametrize(("measure", "threshold"), [("tanimoto", 0.08), ("cooccurrence", 2), ("city_block", 0.05)])
+def test_long_prefixes_look_nothing_up(spark, monkeypatch, measure, threshold):
+    prefs = spark.createDataFrame(table(9, heavy=8), SHAPE).repartition(3)
+    every = similarity.similar_pairs(prefs, measure, None).where(F.col("sim") >= threshold)
+    want = rows(every, "item_a", "item_b", "sim")
+    monkeypatch.setattr(similarity, "verified_sums", None)
+    assert rows(similarity.similar_pairs(prefs, measure, threshold, plan="prefix"), "item_a", "item_b", "sim") == want != []
