@@ -110,3 +110,15 @@ def test_levels_match_counting(spark, seed, least):
     rules = association_rules(rows_, frequent_itemsets(rows_, least), 0.9).collect()
     assert {len(r.antecedent) for r in rules} >= {2, 3, 4}
     assert all(want[tuple(sorted([*r.antecedent, r.consequent]))] / want[tuple(r.antecedent)] >= 0.9 for r in rules)
+
+
+def test_baskets_hold_sets_by_number(spark, monkeypatch):
+    from affinia.operators import itemsets
+
+    ui = spark.createDataFrame([(b, i) for b in range(6) for i in "abcd" if (b, i) != (0, "d")], "user bigint, item string")
+    stored, store = [], itemsets.cut_lineage
+    monkeypatch.setattr(itemsets, "cut_lineage", lambda df: stored.append(dict(df.dtypes)) or store(df))
+    sets = itemsets.frequent_itemsets(itemsets.basket_rows(ui), 6).collect()
+    assert sorted("".join(r["items"]) for r in sets) == ["a", "ab", "abc", "ac", "b", "bc", "c"]
+    baskets = [types for types in stored if "basket" in types]
+    assert baskets and all(types == {"basket": "bigint", "number": "bigint"} for types in baskets)
