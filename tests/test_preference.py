@@ -88,3 +88,18 @@ def test_lists_best_first_and_counts(spark):
     assert lists == {(1, 0): ["b", "c", "a"], (2, 0): ["a"]}
     assert rows(item_popularity(scores), "item", "n") == [("a", 2), ("b", 1), ("c", 1)]
     assert rows(histogram(scores, "score", 2), "bucket", "n") == [(1.0, 1), (2.0, 1), (4.01, 2)]
+
+
+def test_merged_rows_and_counts_are_made_once(spark, capsys):
+    """Statistics, scores and ranks read them from storage; the joins and sums behind them do not run for each."""
+    from affinia.catalog import queries
+    from affinia.operators.stats import key_lists
+
+    queries._scores(spark, "/root/testdata/sf0.001").explain()
+    queries.zscore(spark, "/root/testdata/sf0.001").explain()
+    counts = spark.range(5).selectExpr("'k' AS kind", "cast(id AS string) AS key", "id AS n")
+    lists = key_lists(counts, 3)
+    lists.explain()
+    plan = capsys.readouterr().out
+    assert "parquet" in plan and "lineitem" not in plan and "Range (" not in plan
+    assert rows(lists, "kind", "part", "keys_list") == [("k", 0, "0:0,1:1,2:2"), ("k", 1, "3:3,4:4")]
