@@ -87,3 +87,31 @@ def test_proposals_are_not_shuffled(spark, capsys):
     recommend(prefs, similarity.item_similarity(prefs, "cosine", 4), n=3).explain()
     plan = capsys.readouterr().out
     assert "REPARTITION" in plan.upper() and "hashpartitioning(user" not in plan
+
+
+def test_centred_preferences_travel_packed(spark, monkeypatch):
+    """Preferences less their item's mean fill eight bytes each; the preferences themselves fit one."""
+    sent, real = [], similarity.sparse_product
+
+    def spied(left, right, pairs, values, **more):
+        sent.extend(v.type for v in values)
+        return real(left, right, pairs, values, **more)
+
+    monkeypatch.setattr(similarity, "sparse_product", spied)
+    data = table(6, 25, 12, 0.5, [1, 2, 50])
+    prefs = spark.createDataFrame(data, "user bigint, item bigint, pref double")
+    got = similarity.similar_pairs(prefs, "pearson").collect()
+    assert sent == ["tinyint", "tinyint"]
+    of = {}
+    for user, item, pref in data:
+        of.setdefault(item, {})[user] = pref
+    off = {i: {u: p - sum(r.values()) / len(r) for u, p in r.items()} for i, r in of.items()}
+    want = {}
+    for a in off:
+        for b in (b for b in off if b > a):
+            sides = [sum(x * x for x in off[i].values()) ** 0.5 for i in (a, b)]
+            dot = sum(x * off[b][u] for u, x in off[a].items() if u in off[b])
+            if all(sides) and dot / (sides[0] * sides[1]) > 1e-6:
+                want[a, b] = dot / (sides[0] * sides[1])
+    assert {(r.item_a, r.item_b) for r in got if r.sim > 1e-6} == set(want) != set()
+    assert all(abs(r.sim - want[r.item_a, r.item_b]) < 1e-8 for r in got if r.sim > 1e-6)
