@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +17,8 @@ LONGEST_GRAM = 5
 #: The classifier is fitted on at most so many labelled documents, and on about so many characters, of all
 #: languages together; the model, which is broadcast, is bounded by the characters.
 DOCUMENTS, CHARACTERS = 4_000, 12_000_000
+#: Words of the texts whose scores a task remembers.
+REMEMBERED = 100_000
 
 
 def bare(word: str) -> str:
@@ -101,7 +103,7 @@ class Model:
 
     def predict(self, text: str | None, memory: Memory) -> tuple[str, float]:
         counts = Counter((text or "").lower().split())
-        if len(memory) > FLUSH:
+        if len(memory) > REMEMBERED:
             memory.clear()
         at = np.fromiter(map(memory.__getitem__, counts), np.int64, len(counts))
         if not self.langs or not at.any():
@@ -181,13 +183,16 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
     that has learned from nothing. Ties go to the language first in order. Columns of ``docs`` named
     like the new ones are replaced.
     """
-    # Spark broadcasts the function with the model in it.
+    # Spark broadcasts the function with the model in it. A batch holds thousands of texts: each becomes a string
+    # of Python's on its own, when it is scored.
 
-    @F.pandas_udf("struct<lang: string, score: double>")
-    def predicted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def predicted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memory = Memory(model)
         for texts in parts:
-            yield pd.DataFrame([model.predict(t, memory) for t in texts], columns=["lang", "score"])
+            told = [model.predict(t.as_py(), memory) for t in texts]
+            columns = [pa.array([t[i] for t in told], kind) for i, kind in enumerate((pa.string(), pa.float64()))]
+            yield pa.StructArray.from_arrays(columns, ["lang", "score"])
 
     made = docs.withColumn("_langid", predicted(F.col(text)))
     return made.withColumn(pred, F.col("_langid.lang")).withColumn(score, F.col("_langid.score")).drop("_langid")

@@ -132,6 +132,22 @@ def test_langid_scores_by_words_then_grams(spark):
         assert r["lang_pred"] == want[0] and abs(r["score"] - want[1]) < 1e-9
 
 
+def test_langid_remembers_few_words(monkeypatch):
+    """What a task holds besides the model is bounded, and forgetting changes no prediction."""
+    rows = [("de", "der", 5), ("de", "hund", 2), ("en", "the", 5), ("en", "hound", 2)]
+    model = langid.Model(rows, {"de": (7, 2), "en": (7, 2)})
+    texts = [f"the der hund{i} hound{i % 7} thou{i * i}" for i in range(200)]
+    whole = langid.Memory(model)
+    want = [model.predict(t, whole) for t in texts]
+    monkeypatch.setattr(langid, "REMEMBERED", 50)
+    few, held = langid.Memory(model), 0
+    got = []
+    for t in texts:
+        got.append(model.predict(t, few))
+        held = max(held, len(few))
+    assert got == want and held <= 55 < len(whole)
+
+
 def test_langid_learns_from_a_bounded_equal_sample(spark):
     table = [(i, f"w{i}a " * 20, "en") for i in range(3000)] + [(5000 + i, f"x{i}a " * 20, "de") for i in range(9)]
     table += [(9000, None, "de"), (9001, "y", None), (None, "z", "en"), (1, "w1a " * 20, "en")]
