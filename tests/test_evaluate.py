@@ -59,3 +59,13 @@ def test_hits_and_metrics_by_hand(metrics):
     assert tuple(evaluation_means(rated).first()) == (0.5, 0.44444, 0.46667)
     assert rows(precision_recall_points(rated), "precision", "recall") == [(0.0, 0.0), (0.5, 0.3333), (1.0, 1.0)]
     assert rows(histogram(rated, "f1", 1), "bucket", "n") == [(0.0, 1), (0.4, 1), (1.0, 1)]
+
+
+def test_rows_to_split_are_made_once(spark, capsys):
+    """Counting and ranking read them from storage; what makes them does not run for each."""
+    ui = spark.range(40).selectExpr("id % 4 AS user", "id AS item", "1.0D AS pref")
+    split = train_test_split(ui, 0.6, 42)
+    split.explain()
+    plan = capsys.readouterr().out
+    assert "parquet" in plan and "Range (" not in plan
+    assert sorted((r["split"], r["count"]) for r in split.groupBy("split").count().collect()) == [("test", 16), ("train", 24)]
