@@ -115,3 +115,40 @@ def test_centred_preferences_travel_packed(spark, monkeypatch):
                 want[a, b] = dot / (sides[0] * sides[1])
     assert {(r.item_a, r.item_b) for r in got if r.sim > 1e-6} == set(want) != set()
     assert all(abs(r.sim - want[r.item_a, r.item_b]) < 1e-8 for r in got if r.sim > 1e-6)
+
+
+@pytest.mark.parametrize("grid", [(3, 1), (2, 4), (1, 5)])
+def test_a_grid_of_blocks_gives_the_same_best(spark, grid):
+    left = cut_lineage(spark.createDataFrame(table(7, 14, 30, 0.4, [1, 2]), "key int, row int, value double"))
+    right = cut_lineage(spark.createDataFrame(table(8, 14, 25, 0.5, [0.5, 3.0]), "key int, other int, value double"))
+    how = (product.packed(left, "value"), product.packed(right, "value"))
+    out = left.selectExpr("row", "row + 1 AS other").distinct()
+
+    def scores(**more):
+        totals = product.sparse_product(left, right, "all", how, absolute=True, **more)
+        return totals.withColumn("score", F.col("dot"))
+
+    whole = scores().join(out, ["row", "other"], "left_anti")
+    whole = whole.join(left.selectExpr("row", "key AS other").distinct(), ["row", "other"], "left_anti")
+    found = {}
+    for r in whole.collect():
+        found.setdefault(r.row, []).append((-r.score, r.other))
+    want = [(row, i + 1, other, -s) for row, all_of in found.items() for i, (s, other) in enumerate(sorted(all_of)[:4])]
+    best = scores(grid=grid, out=out, own=True, best=(lambda t: t["dot"], 4))
+    assert rows(product.best_of_rows(best, "score", 4, parts=grid[1]), "row", "rank", "other", "score") == sorted(want) != []
+
+
+def test_a_grid_moves_less_than_rows_of_blocks(spark):
+    """Keys with many rows and many others: every block of rows would get every list."""
+    left = cut_lineage(spark.range(20_000).selectExpr("int(id % 50) AS key", "int(id) AS row"))
+    right = cut_lineage(spark.range(20_000).selectExpr("int(id % 50) AS key", "int(id) AS other"))
+    down, across = product.block_grid(left, right, (5, 8), 1)
+    assert across > 1 and down < down * across >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_a_stored_table_is_not_written_again(spark, prefs):
+    from affinia.operators.interactions import complete
+
+    stored = cut_lineage(prefs)
+    assert cut_lineage(complete(stored)).inputFiles() == stored.inputFiles() != []
+    assert cut_lineage(stored.withColumn("pref", F.lit(1.0))).inputFiles() != stored.inputFiles()
