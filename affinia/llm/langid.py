@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import FLUSH, map_batches, values
+from affinia.llm.common import FLUSH, let_go, map_batches, values
 
 UNDETERMINED = "und"
 LONGEST_GRAM = 5
@@ -188,6 +188,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def predicted(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         memory = Memory(model)
         for texts in parts:
             told = [model.predict(t.as_py(), memory) for t in texts]

@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinia.llm.common import Scratch, ascii_lower, map_batches, values
+from affinia.llm.common import Scratch, ascii_lower, let_go, map_batches, values
 
 #: Labelled documents the classifier is fitted on, those of smallest id hash; bounds what reaches the driver.
 SAMPLE = 4_000
@@ -140,6 +140,29 @@ def fit_rates(members: DataFrame, targets: Sequence[float]) -> np.ndarray:
     return steps
 
 
+def reader(model: Classifier, domains: int, steps: np.ndarray | None = None):
+    """Tokens, posteriors and, after ``steps``, rate of a text, by one function: a second one would take a worker of its own.
+
+    Spark broadcasts the function with the model in it: domains * 2^14 numbers. Of a batch, one text at a time
+    becomes a string of Python's.
+    """
+    steps = np.zeros((0, domains)) if steps is None else steps
+
+    @F.arrow_udf("struct<tokens: bigint, posteriors: array<double>, rate: double>")
+    def read(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
+        for texts in parts:
+            tokens, p = np.zeros(len(texts), np.int64), np.zeros((len(texts), domains))
+            for i, t in enumerate(texts):
+                t = t.as_py()
+                tokens[i], p[i] = len((t or "").encode("utf-8", "surrogatepass").split()), model.posteriors(t)
+            bounds = pa.array(np.arange(len(texts) + 1) * domains, pa.int32())
+            columns = [pa.array(tokens), pa.ListArray.from_arrays(bounds, pa.array(p.ravel())), pa.array(rates_of(p, steps))]
+            yield pa.StructArray.from_arrays(columns, ["tokens", "posteriors", "rate"])
+
+    return read.asNondeterministic()  # so that a filter on what it gives does not run it a second time
+
+
 def mix(
     docs: DataFrame,
     model: Classifier,
@@ -155,22 +178,11 @@ def mix(
     """
     scratch = Scratch(docs.sparkSession, "mixing")
 
-    # Spark broadcasts the function with the model in it: domains * 2^14 numbers.
-    @F.pandas_udf("struct<tokens: bigint, posteriors: array<double>>")
-    def read(texts: pd.Series) -> pd.DataFrame:
-        rows = [(len((t or "").encode("utf-8", "surrogatepass").split()), model.posteriors(t)) for t in texts]
-        return pd.DataFrame(rows, columns=["tokens", "posteriors"])
-
     fresh = docs.drop("tokens", "posteriors", "rate", "copies")
-    made = fresh.withColumn("_read", read(F.col(text)))
+    made = fresh.select(reader(model, len(targets))(F.col(text)).alias("_read"))
     members = scratch.keep(made.select("_read.tokens", F.col("_read.posteriors").alias("p")).where("tokens > 0"))
     steps = fit_rates(members, list(targets.values()))
-
-    @F.pandas_udf("double")
-    def rate(p: pd.Series) -> pd.Series:
-        return pd.Series(rates_of(np.stack(p.to_list()), steps) if len(p) else [], dtype=float)
-
-    out = made.withColumns({"tokens": F.col("_read.tokens"), "posteriors": F.col("_read.posteriors")}).drop("_read")
-    out = out.withColumn("rate", rate("posteriors"))
+    made = fresh.withColumn("_read", reader(model, len(targets), steps)(F.col(text)))
+    out = made.withColumns({c: F.col(f"_read.{c}") for c in ("tokens", "posteriors", "rate")}).drop("_read")
     unit = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(1 << 40)) / float(1 << 40)
     return out.withColumn("copies", F.floor(F.col("rate") + unit).cast("bigint"))

@@ -82,3 +82,27 @@ def test_mixing(spark):
     sums = (got["rate"] * got["tokens"]).values @ np.stack(got["posteriors"].to_list())
     assert np.allclose(sums / got["tokens"].sum(), [0.4, 0.6], atol=1e-3)
     assert mixing.mix(docs.limit(0), model, {"sky": 0.4, "earth": 0.6}).count() == 0
+
+
+def test_mixing_reads_a_text_by_one_worker(spark, capsys):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, f"star {i}" if i % 2 else "stone river") for i in range(20)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id int, sky int")
+    model = mixing.train(docs, labels, F.when(F.col("sky") == 1, "sky").otherwise("earth"), ["sky", "earth"])
+    mixed = mixing.mix(docs, model, {"sky": 0.4, "earth": 0.6})
+    mixed.where("copies > 0").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("EvalPython") == 1, plan
+    for r in mixed.collect():
+        assert r.tokens == 2 and abs(sum(r.posteriors) - 1) < 1e-9 and r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1)
+
+
+def test_a_worker_holds_one_object_at_a_time():
+    from affinia.llm import common
+
+    first = common.held("a", lambda: [1])
+    assert common.held("a", lambda: [2]) is first
+    assert common.held("b", lambda: [3]) == [3] and list(common._held) == ["b"]
+    common.let_go()
+    assert not common._held
