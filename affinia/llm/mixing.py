@@ -30,8 +30,13 @@ ROUNDS, ENOUGH = 200, 1e-4
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed words of the whole text (A-Z lowered), log counts scaled to length one."""
-    at = [xxhash.xxh3_64_intdigest(w) >> (64 - FEATURE_BITS) for w in ascii_lower(text).split()]
-    found, n = np.unique(np.array(at, np.int64), return_counts=True)
+    return counted(ascii_lower(text).split())
+
+
+def counted(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a text with these words, lowered."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    found, n = np.unique((hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int64), return_counts=True)
     x = np.log1p(n)
     return found, x / max(np.sqrt((x * x).sum()), 1e-12)
 
@@ -43,7 +48,10 @@ class Classifier:
         self.weights, self.bias = weights, bias
 
     def posteriors(self, text: str | None) -> np.ndarray:
-        at, x = features(text)
+        return self.of(features(text))
+
+    def of(self, features: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        at, x = features
         z = x @ self.weights[at] + self.bias
         p = np.exp(z - z.max())
         return p / p.sum()
@@ -140,29 +148,40 @@ def fit_rates(members: DataFrame, targets: Sequence[float]) -> np.ndarray:
     return steps
 
 
-def reader(model: Classifier, domains: int, steps: np.ndarray | None = None):
-    """Tokens, posteriors and, after ``steps``, rate of a text, by one function: a second one would take a worker of its own.
+def reader(model: Classifier, domains: int):
+    """Tokens and posteriors of a text, by one function: a second one would take a worker of its own.
 
     Spark broadcasts the function with the model in it: domains * 2^14 numbers. Of a batch, one text at a time
-    becomes a string of Python's.
+    becomes an object of Python's, and its words are cut once.
     """
-    steps = np.zeros((0, domains)) if steps is None else steps
 
-    @F.arrow_udf("struct<tokens: bigint, posteriors: array<double>, rate: double>")
+    @F.arrow_udf("struct<tokens: bigint, posteriors: array<double>>")
     def read(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         let_go()
         for texts in parts:
             tokens, p = np.zeros(len(texts), np.int64), np.zeros((len(texts), domains))
-            for i, t in enumerate(texts):
-                t = t.as_py()
-                tokens[i], p[i] = len((t or "").encode("utf-8", "surrogatepass").split()), model.posteriors(t)
+            for i, t in enumerate(texts.cast(pa.binary())):
+                words = (t.as_py() or b"").lower().split()
+                tokens[i], p[i] = len(words), model.of(counted(words))
             bounds = pa.array(np.arange(len(texts) + 1) * domains, pa.int32())
-            columns = [pa.array(tokens), pa.ListArray.from_arrays(bounds, pa.array(p.ravel())), pa.array(rates_of(p, steps))]
-            yield pa.StructArray.from_arrays(columns, ["tokens", "posteriors", "rate"])
+            columns = [pa.array(tokens), pa.ListArray.from_arrays(bounds, pa.array(p.ravel()))]
+            yield pa.StructArray.from_arrays(columns, ["tokens", "posteriors"])
 
     return read.asNondeterministic()  # so that a filter on what it gives does not run it a second time
 
 
+def rater(steps: np.ndarray):
+    """The rate of a document after the rounds, from its posteriors."""
+
+    @F.arrow_udf("double")
+    def rate(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
+        for p in parts:
+            yield pa.array(rates_of(p.flatten().to_numpy().reshape(-1, steps.shape[1]), steps))
+
+    return rate.asNondeterministic()
+
+
 def mix(
     docs: DataFrame,
     model: Classifier,
@@ -175,14 +194,16 @@ def mix(
     ``copies`` is the rate rounded up or down so that its expectation over documents is the rate: a hash
     of the text decides, hence repeated rows fare alike. Null and empty texts have no
     tokens and no say, but get a rate. An empty table gives no rows. Columns with the new names are replaced.
+
+    The documents are stored once with what was read from them, so no text is read a second time for its rate.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
 
     fresh = docs.drop("tokens", "posteriors", "rate", "copies")
-    made = fresh.select(reader(model, len(targets))(F.col(text)).alias("_read"))
-    members = scratch.keep(made.select("_read.tokens", F.col("_read.posteriors").alias("p")).where("tokens > 0"))
-    steps = fit_rates(members, list(targets.values()))
-    made = fresh.withColumn("_read", reader(model, len(targets), steps)(F.col(text)))
-    out = made.withColumns({c: F.col(f"_read.{c}") for c in ("tokens", "posteriors", "rate")}).drop("_read")
     unit = F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(1 << 40)) / float(1 << 40)
-    return out.withColumn("copies", F.floor(F.col("rate") + unit).cast("bigint"))
+    made = fresh.withColumn("_read", reader(model, len(targets))(F.col(text)))
+    made = made.withColumns({"tokens": F.col("_read.tokens"), "posteriors": F.col("_read.posteriors"), "_unit": unit})
+    made = scratch.keep(made.drop("_read"))
+    steps = fit_rates(made.select("tokens", F.col("posteriors").alias("p")).where("tokens > 0"), list(targets.values()))
+    out = made.withColumn("rate", rater(steps)(F.col("posteriors")))
+    return out.withColumn("copies", F.floor(F.col("rate") + F.col("_unit")).cast("bigint")).drop("_unit")

@@ -98,6 +98,22 @@ def test_mixing_reads_a_text_by_one_worker(spark, capsys):
         assert r.tokens == 2 and abs(sum(r.posteriors) - 1) < 1e-9 and r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1)
 
 
+def test_mixing_reads_no_text_for_the_rates(spark, capsys):
+    from pyspark.sql import functions as F
+
+    texts = ["Star  star\tSTAR moon", None, "", "Stein \u00c4hre stein"]
+    docs = spark.createDataFrame([(i, t, i * 2) for i, t in enumerate(texts)], "doc_id int, text string, more int")
+    model = mixing.train(docs, docs.where("doc_id in (0, 3)").select("doc_id"), F.lit("all"), ["all"])
+    mixed = mixing.mix(docs, model, {"all": 1.0})
+    mixed.explain()
+    plan = [line for line in capsys.readouterr().out.splitlines() if "EvalPython" in line]
+    assert len(plan) == 1 and "posteriors" in plan[0].split("]")[0] and "text" not in plan[0].split("]")[0], plan
+    got = sorted(map(tuple, mixed.select("doc_id", "text", "more", "tokens", "rate", "copies").collect()))
+    assert got == [(i, t, i * 2, len((t or "").split()), 1.0, 1) for i, t in enumerate(texts)]
+    at, x = mixing.features(texts[0])
+    assert len(at) == 2 and np.allclose(np.sort(x) * np.sqrt(np.log(2) ** 2 + np.log(4) ** 2), [np.log(2), np.log(4)])
+
+
 def test_a_worker_holds_one_object_at_a_time():
     from affinia.llm import common
 
