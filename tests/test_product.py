@@ -152,3 +152,15 @@ def test_a_stored_table_is_not_written_again(spark, prefs):
     stored = cut_lineage(prefs)
     assert cut_lineage(complete(stored)).inputFiles() == stored.inputFiles() != []
     assert cut_lineage(stored.withColumn("pref", F.lit(1.0))).inputFiles() != stored.inputFiles()
+
+
+def test_small_lists_go_to_one_block_a_core(spark):
+    rows = [(u, i, 1) for u in range(200) for i in range(u % 7, 60, 7)]
+    prefs = spark.createDataFrame(rows, "key bigint, item int, value int").repartition(4)
+    left, right = prefs.withColumnRenamed("item", "row"), prefs.withColumnRenamed("item", "other")
+    assert product.block_count(left, right, 8) == spark.sparkContext.defaultParallelism
+    whole = product.sparse_product(left, right, "other", (product.PACKINGS[1],) * 2)
+    grid = product.sparse_product(left, right, "other", (product.PACKINGS[1],) * 2, grid=(3, 4))
+    want = {(i, j): sum(u % 7 == i % 7 == j % 7 for u in range(200)) for i in range(60) for j in range(60) if i != j and i % 7 == j % 7}
+    for made in (whole, grid):
+        assert {(r.row, r.other): r.n for r in made.collect()} == want
