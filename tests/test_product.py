@@ -164,3 +164,45 @@ def test_small_lists_go_to_one_block_a_core(spark):
     want = {(i, j): sum(u % 7 == i % 7 == j % 7 for u in range(200)) for i in range(60) for j in range(60) if i != j and i % 7 == j % 7}
     for made in (whole, grid):
         assert {(r.row, r.other): r.n for r in made.collect()} == want
+
+
+@pytest.mark.parametrize("grid", [(40, 1), (24, 2)])
+def test_blocks_take_turns(spark, monkeypatch, grid):
+    """Lists for more blocks than a round has: what each round gives is stored, and its shuffle files are gone."""
+    monkeypatch.setattr(product, "ROUND_BYTES", 1)
+    left = cut_lineage(spark.createDataFrame(table(9, 14, 90, 0.4, [1, 2]), "key int, row int, value double"))
+    right = cut_lineage(spark.createDataFrame(table(10, 14, 25, 0.5, [0.5, 3.0]), "key int, other int, value double"))
+    how = (product.packed(left, "value"), product.packed(right, "value"))
+    out = left.selectExpr("row", "row + 1 AS other").distinct()
+    turns = []
+
+    def then(totals):
+        turns.append(totals)
+        return product.best_of_rows(totals.withColumn("score", F.col("dot")), "score", 4, parts=grid[1])
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    more = {"absolute": True, "out": out, "own": True, "best": (lambda t: t["dot"], 4)}
+    whole = then(product.sparse_product(left, right, "all", how, grid=grid, **more))
+    want = rows(whole, "row", "rank", "other", "score")
+    turns.clear()
+    before = files.getAllFiles().size()
+    got = product.sparse_product(left, right, "all", how, grid=grid, then=then, **more)
+    assert len(turns) > 1 and files.getAllFiles().size() <= before
+    assert rows(got, "row", "rank", "other", "score") == want != []
+
+
+def test_numbers_are_written_and_read():
+    import numpy as np
+
+    arrays = [np.array([1, -2, 127], "<i1"), np.array([70_000, -1], "<i4"), np.array([], "<i4"), np.array([2**40], "<i8"), np.array([0.1, -0.0])]
+    found = product._read(memoryview(product._written(arrays)))
+    assert [(x.dtype, x.tolist()) for x in found] == [(x.dtype, x.tolist()) for x in arrays]
+
+
+def test_a_table_leaves_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    frame = spark.range(1000, numPartitions=3).groupBy((F.col("id") % 7).alias("k")).count()
+    before = files.getAllFiles().size()
+    stored = cut_lineage(frame)
+    assert files.getAllFiles().size() <= before
+    assert stored.count() == 7
