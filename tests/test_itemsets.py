@@ -122,3 +122,20 @@ def test_baskets_hold_sets_by_number(spark, monkeypatch):
     assert sorted("".join(r["items"]) for r in sets) == ["a", "ab", "abc", "ac", "b", "bc", "c"]
     baskets = [types for types in stored if "basket" in types]
     assert baskets and all(types == {"basket": "bigint", "number": "bigint"} for types in baskets)
+
+
+def test_rows_of_a_level_go_with_the_next(spark, tmp_path, monkeypatch):
+    """Baskets of five items that all are frequent: four levels of rows, of which none is left at the end."""
+    import os
+
+    from affinia import session
+    from affinia.operators import itemsets
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    made, real = [], itemsets._holding
+    monkeypatch.setattr(itemsets, "_holding", lambda *a: made.append(len(os.listdir(tmp_path))) or real(*a))
+    rows_ = spark.createDataFrame([(b, i) for b in range(6) for i in "abcde"], "basket bigint, item string")
+    found = {tuple(r["items"]): r["freq"] for r in itemsets.frequent_itemsets(rows_, 3).collect()}
+    assert len(found) == 31 and set(found.values()) == {6} and len(made) == 4
+    tables = [spark.read.parquet(str(tmp_path / t)).columns for t in os.listdir(tmp_path)]
+    assert tables and not any("basket" in columns for columns in tables)
